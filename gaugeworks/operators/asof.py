@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeworks.functions.timeutil import MS_PER_DAY
-from gaugeworks.operators.scan import Running, ordered_scan, row_numbers
+from gaugeworks.operators.fill import nearest
+from gaugeworks.operators.frames import BLOCK_ROWS, in_blocks, range_frame, rows_frame
+from gaugeworks.operators.scan import Running, ordered_scan
+from gaugeworks.operators.slices import time_slice
 
 UNBOUNDED = -1
 _SIDE = "__side"
@@ -32,11 +34,13 @@ class TimeSeries:
     def observations(self) -> list[str]:
         return [c for c in self.df.columns if c != self.ts and c not in self.keys]
 
-    def rows_window(self, start: int, end: int):
-        return Window.partitionBy(*self.keys).orderBy(self.ts).rowsBetween(start, end)
+    def rows_frame(self, before: int, after: int, values: dict[str, Column], tie: list[str] | None = None) -> DataFrame:
+        """Aggregates over so many rows before and after each row."""
+        return rows_frame(self.df, self.keys, [self.ts, *(tie or [])], before, after, values)
 
-    def range_window(self, start: int, end: int):
-        return Window.partitionBy(*self.keys).orderBy(self.ts).rangeBetween(start, end)
+    def range_frame(self, before: int, after: int, values: dict[str, Column]) -> DataFrame:
+        """Aggregates over the rows within a distance in time."""
+        return range_frame(self.df, self.keys, self.ts, before, after, values)
 
     def lookup(self, right: "TimeSeries", **options) -> "TimeSeries":
         return TimeSeries(asof_lookup(self, right, **options), self.ts, self.keys)
@@ -45,23 +49,6 @@ class TimeSeries:
         return TimeSeries(asof_join(self, right, **options), self.ts, self.keys)
 
 
-def time_slice(df: DataFrame, ts: str, width: int | None) -> Column | None:
-    """Slice number of a time column.
-
-    ``width`` is in seconds for timestamps, days for dates, and in units of
-    the column for numbers; the default is one day, taking long values as
-    milliseconds. Zero means no slices.
-    """
-    if width == 0:
-        return None
-    kind = df.schema[ts].dataType
-    if isinstance(kind, T.TimestampType):
-        return F.floor(F.unix_seconds(F.col(ts)) / (width or 86_400))
-    if isinstance(kind, T.DateType):
-        return F.floor(F.unix_date(F.col(ts)) / (width or 30))
-    return F.floor(F.col(ts).cast("bigint") / (width or MS_PER_DAY))
-
-
 def _merged(left: TimeSeries, right: TimeSeries, prefix: str, tie_break: list[str]) -> DataFrame:
     """Both series as one stream; a left row comes before a right row of the same time."""
     if len(left.keys) != len(right.keys):
@@ -92,40 +79,57 @@ def _fill_right(
 ) -> DataFrame:
     order = [left.ts, _SIDE, _SEQ]
     by = time_slice(merged, left.ts, slice_width)
-    limited = look_back > 0 or look_ahead > 1
-    if limited:
-        # limits count rows of the merged stream, so every row gets its number
-        merged = row_numbers(merged, left.keys, order, by, _RN)
+    if look_back > 0 or look_ahead > 1:
+        return _fill_right_near(merged, left, right_cols, look_back, look_ahead, order, by)
 
     running: list[Running] = []
     for c in right_cols:
-        value = F.col(c)
-        marked = F.when(value.isNotNull(), F.struct(value.alias("v"), F.col(_RN).alias("rn"))) if limited else None
-        if look_back != 0:
-            running.append(Running(f"__b_{c}", "last", marked if look_back > 0 else value))
-        if look_ahead == 1:
-            running.append(Running(f"__a_{c}", "lead", value))
-        elif look_ahead != 0:
-            running.append(Running(f"__a_{c}", "first", marked if look_ahead > 0 else value))
+        if look_back == UNBOUNDED:
+            running.append(Running(f"__b_{c}", "last", F.col(c)))
+        if look_ahead != 0:
+            running.append(Running(f"__a_{c}", "lead" if look_ahead == 1 else "first", F.col(c)))
     filled = ordered_scan(merged, left.keys, order, running, by) if running else merged
 
     def looked_up(c: str) -> Column:
-        options = [F.col(c)]
-        if look_back == UNBOUNDED:
-            options.append(F.col(f"__b_{c}"))
-        elif look_back > 0:
-            b = F.col(f"__b_{c}")
-            options.append(F.when(b["rn"] >= F.col(_RN) - look_back, b["v"]))
-        if look_ahead in (1, UNBOUNDED):
-            options.append(F.col(f"__a_{c}"))
-        elif look_ahead > 1:
-            a = F.col(f"__a_{c}")
-            options.append(F.when(a["rn"] <= F.col(_RN) + look_ahead, a["v"]))
-        return F.coalesce(*options)
+        found = [F.col(r.name) for r in running if r.name[4:] == c]
+        return F.coalesce(F.col(c), *found)
 
     return filled.withColumns({c: looked_up(c) for c in right_cols})
 
 
+def _fill_right_near(
+    merged: DataFrame,
+    left: TimeSeries,
+    right_cols: list[str],
+    look_back: int,
+    look_ahead: int,
+    order: list[str],
+    by: Column | None,
+) -> DataFrame:
+    """Limits count rows of the merged stream, so every row gets its number first."""
+    unlimited = [k for k, n in (("last", look_back), ("first", look_ahead)) if n == UNBOUNDED]
+    running = [Running(f"__{k}_{c}", k, F.col(c)) for k in unlimited for c in right_cols]
+    numbered = ordered_scan(
+        merged, left.keys, order, [Running(_RN, "sum", F.lit(1).cast("bigint")), *running], by
+    )
+    back, ahead = max(look_back, 0), max(look_ahead, 0)
+    copies = in_blocks(numbered, left.keys, F.col(_RN), back, ahead, max(BLOCK_ROWS, back + ahead))
+
+    def side(c: str, kind: str, limit: int) -> Column:
+        if limit == UNBOUNDED:
+            return F.col(f"__{kind}_{c}")
+        return nearest(F.col(c), kind, left.keys, limit, False)
+
+    filled = {
+        c: F.coalesce(F.col(c), side(c, "last", look_back), side(c, "first", look_ahead))
+        for c in right_cols
+    }
+    others = [c for c in copies.columns if c not in filled]
+    return copies.select(*others, *[v.alias(c) for c, v in filled.items()]).filter(
+        F.col("__home") == F.col("__block")
+    )
+
+
 def asof_lookup(
     left: TimeSeries,
     right: TimeSeries,

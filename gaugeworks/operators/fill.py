@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gaugeworks.operators.frames import BLOCK_ROWS, in_blocks
 from gaugeworks.operators.scan import Running, ordered_scan, row_numbers
 
 _RN = "__rn"
@@ -78,36 +79,39 @@ def near_value(
     slice_by: Column | None,
     within: int | None = 1000,
     exclusive: bool = False,
+    block: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Nearest known value at most ``within`` rows away.
 
     ``columns`` maps an output name to a source column and a side: ``first``
     looks at the row and later ones, ``last`` at the row and earlier ones. A
     frame of that many rows costs rows times frame; here each value travels
-    with its row number instead.
+    with its row number instead, within blocks of rows.
     """
     if within is None:
         running = [Running(out, kind, F.col(src), exclusive) for out, (src, kind) in columns.items()]
         return ordered_scan(df, keys, order, running, slice_by)
-    has_number = _RN in df.columns
-    numbered = df if has_number else row_numbers(df, keys, order, slice_by, _RN)
-    running = [
-        Running(
-            f"__n_{out}",
-            kind,
-            F.when(F.col(src).isNotNull(), F.struct(F.col(src).alias("v"), F.col(_RN).alias("rn"))),
-            exclusive,
-        )
-        for out, (src, kind) in columns.items()
-    ]
-    found = ordered_scan(numbered, keys, order, running, slice_by)
+    numbered = row_numbers(df, keys, order, slice_by, _RN)
+    sides = {kind for _, kind in columns.values()}
+    back, ahead = (within if k in sides else 0 for k in ("last", "first"))
+    copies = in_blocks(numbered, keys, F.col(_RN), back, ahead, max(block, within))
+    hits = {
+        out: nearest(F.col(src), kind, keys, within, exclusive) for out, (src, kind) in columns.items()
+    }
+    found = copies.select("*", *[c.alias(f"__n_{out}") for out, c in hits.items()])
+    return found.filter(F.col("__home") == F.col("__block")).select(
+        *[c for c in df.columns if c not in columns], *[F.col(f"__n_{out}").alias(out) for out in columns]
+    )
 
-    def close(out: str) -> Column:
-        hit = F.col(f"__n_{out}")
-        return F.when(F.abs(hit["rn"] - F.col(_RN)) <= within, hit["v"])
 
-    drop = [r.name for r in running] + ([] if has_number else [_RN])
-    return found.withColumns({out: close(out) for out in columns}).drop(*drop)
+def nearest(value: Column, kind: str, keys: list[str], within: int, exclusive: bool) -> Column:
+    """Nearest known value at most ``within`` rows away, in frames cut into blocks."""
+    number = F.col(_RN)
+    w = Window.partitionBy(*keys, "__block").orderBy(number.desc() if kind == "first" else number.asc())
+    w = w.rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0)
+    marked = F.when(value.isNotNull(), F.struct(value.alias("v"), number.alias("rn")))
+    hit = F.last(marked, ignorenulls=True).over(w)
+    return F.when(F.abs(hit["rn"] - number) <= within, hit["v"])
 
 
 def fill_from_groups(df: DataFrame, column: str, groupings: list[list[str]]) -> DataFrame:

@@ -92,6 +92,6 @@ def test_near_value_counts_rows(spark):
                 want[i] = (ahead[0] if ahead else None, back[-1] if back else None)
         got = near_value(
             df, ["k"], ["t", "id"], {"a": ("v", "first"), "b": ("v", "last")},
-            F.floor(F.col("t") / 20), 3, exclusive,
+            F.floor(F.col("t") / 20), 3, exclusive, 10,
         )
         assert {r["id"]: (r["a"], r["b"]) for r in got.collect()} == want
