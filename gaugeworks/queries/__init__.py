@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["time_joins", "windows", "basics", "schemas", "reports"]
+MODULES = ["time_joins", "windows", "basics", "schemas", "reports", "stored"]
 
 
 def load_all() -> None:
