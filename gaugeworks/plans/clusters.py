@@ -242,7 +242,7 @@ def cluster_spec(
         {
             "__creator": F.when(
                 F.col("actionName") == "create",
-                F.when(automated, F.lit("JobsService")).otherwise(F.col("userEmail")),
+                F.when(automated, F.lit("JobsService")).when(~automated, F.col("userEmail")),
             ),
             "__editor": F.when(~automated & (F.col("actionName") == "edit"), F.col("userEmail")),
         }
@@ -323,7 +323,7 @@ def cluster_spec(
             version.alias("spark_version"),
             "idempotency_token", "timestamp",
             F.coalesce(
-                F.when(automated, F.col("__creator")).otherwise(F.coalesce("__creator", "__creator_before")),
+                F.when(~automated, F.coalesce("__creator", "__creator_before")).otherwise(F.col("__creator")),
                 F.col("__tagged_creator"),
             ).alias("createdBy"),
             F.coalesce("__editor", "__editor_before").alias("lastEditedBy"),

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["time_joins", "windows", "basics", "schemas", "reports", "stored"]
+MODULES = ["time_joins", "windows", "basics", "schemas", "reports", "stored", "marts_cost", "marts_spark", "marts_audit"]
 
 
 def load_all() -> None:

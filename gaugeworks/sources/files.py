@@ -245,10 +245,10 @@ def read_event_logs(
             schema = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
         raw = reader.schema(schema).json(roots).withColumn("filename", F.col("_metadata.file_path"))
         slim = raw.drop(*[c for c in BULKY_EVENT_FIELDS if c in raw.columns])
-        bad = slim.filter(F.col("_corrupt_record").isNotNull()).select(
-            "filename", F.col("_corrupt_record").alias("record")
-        )
-        good = slim.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
+        # a line is an event when it is valid JSON and says which; both lists together hold every line
+        is_event = F.col("_corrupt_record").isNull() & F.col("Event").isNotNull()
+        bad = slim.filter(~is_event).select("filename", F.col("_corrupt_record").alias("record"))
+        good = slim.filter(is_event).drop("_corrupt_record")
         events = _unified_events(good)
         name = F.col("filename")
         placed = events.withColumns(
