@@ -53,8 +53,8 @@ def _merged(left: TimeSeries, right: TimeSeries, prefix: str, tie_break: list[st
     """Both series as one stream; a left row comes before a right row of the same time."""
     if len(left.keys) != len(right.keys):
         raise ValueError("both series need the same number of keys")
-    lefts = left.df.select("*", F.lit(0).alias(_SIDE), F.lit(0).cast("bigint").alias(_SEQ))
-    seq = F.xxhash64(*tie_break) if tie_break else F.lit(0).cast("bigint")
+    lefts = left.df.select("*", F.lit(0).alias(_SIDE))
+    seq = [F.xxhash64(*tie_break).alias(_SEQ)] if tie_break else []
     rights = right.df.select(
         F.col(right.ts).cast(left.df.schema[left.ts].dataType).alias(left.ts),
         *[
@@ -64,7 +64,7 @@ def _merged(left: TimeSeries, right: TimeSeries, prefix: str, tie_break: list[st
         *[F.col(c).alias(prefix + c) for c in right.observations],
         F.col(right.ts).alias(prefix + right.ts),
         F.lit(1).alias(_SIDE),
-        seq.alias(_SEQ),
+        *seq,
     )
     return lefts.unionByName(rights, allowMissingColumns=True)
 
@@ -77,22 +77,30 @@ def _fill_right(
     look_ahead: int,
     slice_width: int | None,
 ) -> DataFrame:
-    order = [left.ts, _SIDE, _SEQ]
+    order = [left.ts, _SIDE, *([_SEQ] if _SEQ in merged.columns else [])]
     by = time_slice(merged, left.ts, slice_width)
     if look_back > 0 or look_ahead > 1:
         return _fill_right_near(merged, left, right_cols, look_back, look_ahead, order, by)
 
     running: list[Running] = []
-    for c in right_cols:
-        if look_back == UNBOUNDED:
-            running.append(Running(f"__b_{c}", "last", F.col(c)))
-        if look_ahead != 0:
-            running.append(Running(f"__a_{c}", "lead" if look_ahead == 1 else "first", F.col(c)))
+    if look_back == UNBOUNDED:
+        running += [Running(f"__b_{c}", "last", F.col(c)) for c in right_cols]
+    if look_ahead == UNBOUNDED:
+        running += [Running(f"__a_{c}", "first", F.col(c)) for c in right_cols]
+    elif look_ahead == 1:
+        # the next row counts as a whole, so its columns travel together
+        running.append(Running("__next_row", "lead", F.struct(*right_cols)))
     filled = ordered_scan(merged, left.keys, order, running, by) if running else merged
 
     def looked_up(c: str) -> Column:
-        found = [F.col(r.name) for r in running if r.name[4:] == c]
-        return F.coalesce(F.col(c), *found)
+        found = [F.col(c)]
+        if look_back == UNBOUNDED:
+            found.append(F.col(f"__b_{c}"))
+        if look_ahead == UNBOUNDED:
+            found.append(F.col(f"__a_{c}"))
+        elif look_ahead == 1:
+            found.append(F.col("__next_row")[c])
+        return F.coalesce(*found)
 
     return filled.withColumns({c: looked_up(c) for c in right_cols})
 

@@ -125,7 +125,7 @@ def struct_from_json(
     column: str,
     *,
     is_array: bool = False,
-    when_empty: T.DataType | None = None,
+    when_empty: T.DataType | str | None = None,
     schema: T.DataType | None = None,
 ) -> Column:
     """Parse a JSON text column with the schema of all its values.
@@ -183,7 +183,7 @@ def cluster_map_changes(schema: T.StructType, prefix: str) -> dict[str, Column]:
     }
 
 
-def clean_struct_array(df: DataFrame, path: str, maps: list[str], when_missing: T.DataType | None = None) -> Column:
+def clean_struct_array(df: DataFrame, path: str, maps: list[str], when_missing: T.DataType | str | None = None) -> Column:
     """An array of structs whose listed inner structs become maps, element by element.
 
     No explode and no regrouping: the elements stay in their row. ``maps`` are

@@ -26,10 +26,10 @@ SNAPSHOT_MAPS = ["default_tags", "custom_tags", "spark_conf", "spark_env_vars",
 POOL_MAPS = ["custom_tags", "default_tags", "aws_attributes", "azure_attributes"]
 EVENT_ATTRIBUTES = ["custom_tags", "spark_conf", "azure_attributes", "aws_attributes", "spark_env_vars"]
 
-EMPTY_TASKS = T.ArrayType(T.StructType.fromDDL("task_key string"))
-EMPTY_JOB_CLUSTERS = T.ArrayType(T.StructType.fromDDL("job_cluster_key string"))
+EMPTY_TASKS = "array<struct<task_key:string>>"
+EMPTY_JOB_CLUSTERS = "array<struct<job_cluster_key:string>>"
 
-CLUSTER_EVENT_SCHEMA = T.StructType.fromDDL(
+CLUSTER_EVENT_SCHEMA = (
     "organization_id string, cluster_id string, timestamp bigint, type string,"
     " details struct<cluster_size: struct<autoscale: struct<max_workers: bigint, min_workers: bigint>,"
     " num_workers: bigint>, current_num_workers: bigint, target_num_workers: bigint, user: string,"
@@ -123,7 +123,7 @@ def cluster_events(pages: DataFrame, tenant: str) -> DataFrame:
         for a in EVENT_ATTRIBUTES
     }
     df = S.modify_struct(df, _present(df, changes)).withColumn(TENANT, F.lit(tenant))
-    return keep_first(S.enforce_schema(df, CLUSTER_EVENT_SCHEMA), [TENANT, "cluster_id", "type", "timestamp"], ["timestamp"])
+    return keep_first(S.enforce_schema(df, T.StructType.fromDDL(CLUSTER_EVENT_SCHEMA)), [TENANT, "cluster_id", "type", "timestamp"], ["timestamp"])
 
 
 def spark_events(

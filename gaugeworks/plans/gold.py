@@ -240,7 +240,7 @@ def spark_executor(silver: DataFrame) -> DataFrame:
     )
 
 
-STREAM_SCHEMA = T.StructType.fromDDL(
+STREAM_SCHEMA = (
     "cluster_id string, organization_id string, spark_context_id string, stream_id string, stream_run_id string,"
     " stream_batch_id bigint, stream_timestamp double, date date, streamSegment string, stream_name string,"
     " streaming_metrics struct<batchDuration: bigint, batchId: bigint, durationMs: string,"
@@ -309,4 +309,4 @@ def spark_stream(
     keys = [*run, "stream_batch_id"]
     by = F.floor(F.col("execution_id") / 100_000)
     lists = ordered_list(linked, keys, "execution_id", ["execution_id"], "execution_ids", by, chunk).drop("chunk_no")
-    return S.enforce_schema(df.join(lists, keys, "left"), STREAM_SCHEMA)
+    return S.enforce_schema(df.join(lists, keys, "left"), T.StructType.fromDDL(STREAM_SCHEMA))

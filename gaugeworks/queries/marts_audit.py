@@ -6,7 +6,6 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from gaugeworks.plans import accounts, bronze, clusters, gold, jobs
 from gaugeworks.queries import samples
@@ -403,16 +402,12 @@ def c_name() -> Column:
     return F.col("c_name")
 
 
-JOB_TYPES: dict[str, T.DataType] = {
-    "tasks": T.ArrayType(
-        T.StructType.fromDDL("task_key string, job_cluster_key string, notebook_task struct<base_parameters: struct<x: string>>")
-    ),
-    "job_clusters": T.ArrayType(
-        T.StructType.fromDDL("job_cluster_key string, new_cluster struct<num_workers: bigint, spark_conf: struct<y: string>>")
-    ),
-    "libraries": T.ArrayType(T.StructType.fromDDL("jar string")),
-    "new_cluster": T.StructType.fromDDL("num_workers bigint"),
-    **{kind: T.StructType.fromDDL("parameters array<string>") for kind in jobs.TASK_KINDS},
+JOB_TYPES: dict[str, str] = {
+    "tasks": "array<struct<task_key:string,job_cluster_key:string,notebook_task:struct<base_parameters:struct<x:string>>>>",
+    "job_clusters": "array<struct<job_cluster_key:string,new_cluster:struct<num_workers:bigint,spark_conf:struct<y:string>>>>",
+    "libraries": "array<struct<jar:string>>",
+    "new_cluster": "struct<num_workers:bigint>",
+    **{kind: "struct<parameters:array<string>>" for kind in jobs.TASK_KINDS},
 }
 
 _STATUS = f"""WITH e AS (SELECT *, 't' || user_id % 2 AS org, epoch_us(ts) // 1000 AS t, 'r' || event_id AS rid, {_K} AS k, 'u' || event_id % 11 AS who,
@@ -519,7 +514,7 @@ SELECT org AS organization_id, event_id + 100000 AS run_id, CASE WHEN started OR
   CASE WHEN event_type IN ('purchase', 'signup') THEN 't1' END AS task_key
 FROM r LEFT JOIN sp ON cid = 'c' || user_id"""
 
-RUN_TYPES = {**JOB_TYPES, "tags": T.MapType(T.StringType(), T.StringType())}
+RUN_TYPES = {**JOB_TYPES, "tags": "map<string,string>"}
 
 
 def runs(t: Tables) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gaugeworks.plans import bronze, gold, jobs, spark_silver
 from gaugeworks.queries import samples
@@ -14,24 +15,20 @@ from gaugeworks.sources.tables import TENANT
 VENDOR = "vendor"
 FROM_MS = samples.JAN_1 + 2 * samples.DAY
 STAGE_INFO = (
-    "struct<StageID:bigint,StageAttemptID:bigint,SubmissionTime:bigint,CompletionTime:bigint,Accumulables:array<string>,"
-    "Details:string,FailureReason:string,NumberofTasks:bigint,ParentIDs:array<bigint>>"
+    "StageID bigint, StageAttemptID bigint, SubmissionTime bigint, CompletionTime bigint, Accumulables array<string>,"
+    " Details string, FailureReason string, NumberofTasks bigint, ParentIDs array<bigint>"
 )
 TASK_INFO = (
-    "struct<TaskID:bigint,ExecutorID:string,Attempt:bigint,Host:string,LaunchTime:bigint,FinishTime:bigint,"
-    "Accumulables:array<string>,Failed:boolean,GettingResultTime:bigint,Index:bigint,Killed:boolean,Locality:string,"
-    "Speculative:boolean>"
+    "TaskID bigint, ExecutorID string, Attempt bigint, Host string, LaunchTime bigint, FinishTime bigint,"
+    " Accumulables array<string>, Failed boolean, GettingResultTime bigint, Index bigint, Killed boolean,"
+    " Locality string, Speculative boolean"
 )
 
 
-def _struct(kind: str, **values: Column) -> Column:
-    """A struct of a type with some fields set."""
-    from pyspark.sql import types as T
-
-    out = []
-    for f in T._parse_datatype_string(kind).fields:
-        out.append(values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name))
-    return F.struct(*out)
+def _struct(fields: str, **values: Column) -> Column:
+    """A struct with the given fields, some of them set."""
+    kinds = T.StructType.fromDDL(fields).fields
+    return F.struct(*[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in kinds])
 
 
 def spark_events(t: Tables) -> DataFrame:

@@ -106,7 +106,7 @@ def stream_source(t: Tables):
     """Landed messages read as a stream, stored, then decoded."""
     landed, stored, check = (scratch_path(t.spark, n) for n in ("landed", "stored", "check"))
     envelopes(t).withColumn("body", F.col("body").cast("string")).drop(TENANT).write.json(landed)
-    s = ingest.message_stream(t.spark, landed, T.StructType.fromDDL("body string"), "t1", "run1", max_files=2)
+    s = ingest.message_stream(t.spark, landed, "body string", "t1", "run1", max_files=2)
     ingest.append_stream(s, stored, check, f"src03_{check[-8:]}").awaitTermination()
     return _decoded(files.decode_envelopes(t.spark.read.parquet(stored), "deserializedBody"))
 
@@ -527,7 +527,7 @@ def rebuilt(t: Tables):
 
 # --- streams ----------------------------------------------------------------
 
-EVENT_SCHEMA = T.StructType.fromDDL("event_id bigint, user_id bigint, event_type string, value double, at_ms bigint")
+EVENT_SCHEMA = "event_id bigint, user_id bigint, event_type string, value double, at_ms bigint"
 
 
 def landed_events(t: Tables, n_files: int = 6) -> str:
@@ -574,8 +574,7 @@ def recovered(t: Tables):
     """The checkpoint is lost half-way; the stream goes on behind the newest landed time."""
     stored = scratch_path(t.spark, "st04")
     path = landed_events(t)
-    half = T.StructType([*EVENT_SCHEMA.fields])
-    all_events = t.spark.read.schema(half).parquet(path)
+    all_events = t.spark.read.schema(EVENT_SCHEMA).parquet(path)
     cut = all_events.agg(F.percentile("at_ms", 0.5).cast("bigint")).scalar()
     all_events.filter(F.col("at_ms") <= cut).withColumns({TENANT: F.lit("t1"), "run_id": F.lit("r")}).write.parquet(stored)
     newest = ingest.resume_point(t.spark.read.parquet(stored), "at_ms")

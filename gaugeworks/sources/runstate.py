@@ -16,7 +16,7 @@ SUCCESS, EMPTY, FAILED = "SUCCESS", "EMPTY", "FAILED"
 DONE = [SUCCESS, EMPTY]
 ROLLED_BACK = "ROLLED BACK"
 
-SCHEMA = T.StructType.fromDDL(
+SCHEMA = (
     "organization_id string, workspace_name string, module_id int, module_name string,"
     " from_ts bigint, until_ts bigint, status string, metrics map<string,string>,"
     " run_id string, snapshot_ts timestamp"
@@ -25,7 +25,8 @@ SCHEMA = T.StructType.fromDDL(
 
 def run_state_table(path: str) -> TableSpec:
     return TableSpec(
-        "run_state", path, (TENANT, "module_id", "run_id"), ("snapshot_ts",), (TENANT,), required=SCHEMA
+        "run_state", path, (TENANT, "module_id", "run_id"), ("snapshot_ts",), (TENANT,),
+        required=T.StructType.fromDDL(SCHEMA),
     )
 
 

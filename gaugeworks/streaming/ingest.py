@@ -15,7 +15,7 @@ from gaugeworks.sources.tables import TENANT, TableSpec, upsert, write_table, ex
 
 
 def message_stream(
-    spark: SparkSession, path: str, schema: T.StructType, tenant: str, run_id: str, *,
+    spark: SparkSession, path: str, schema: T.StructType | str, tenant: str, run_id: str, *,
     max_files: int | None = None, fmt: str = "json", after: dt.datetime | None = None, event_time: str | None = None,
 ) -> DataFrame:
     """Messages landed as files, with body as text, tenant and run id.
