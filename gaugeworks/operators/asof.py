@@ -76,8 +76,9 @@ def _fill_right(
     look_back: int,
     look_ahead: int,
     slice_width: int | None,
+    left_order: list[str] | None,
 ) -> DataFrame:
-    order = [left.ts, _SIDE, *([_SEQ] if _SEQ in merged.columns else [])]
+    order = [left.ts, _SIDE, *(left_order or []), *([_SEQ] if _SEQ in merged.columns else [])]
     by = time_slice(merged, left.ts, slice_width)
     if look_back > 0 or look_ahead > 1:
         return _fill_right_near(merged, left, right_cols, look_back, look_ahead, order, by)
@@ -146,6 +147,7 @@ def asof_lookup(
     look_ahead: int = 0,
     slice_width: int | None = None,
     tie_break: list[str] | None = None,
+    left_order: list[str] | None = None,
 ) -> DataFrame:
     """Left rows with, per right column, its last non-null value from earlier rows.
 
@@ -153,13 +155,14 @@ def asof_lookup(
     rows. Limits count rows of the merged stream; -1 is unbounded. A right row
     of the same time as a left row comes after it. A column on both sides
     keeps the left value where there is one. ``tie_break`` names right columns
-    that order right rows of the same time.
+    that order right rows of the same time, ``left_order`` left columns that
+    order left rows of the same time, which matters for limits only.
     """
     prefix = "__r_"
     merged = _merged(left, right, prefix, tie_break or [])
     right_obs = right.observations
     filled = _fill_right(
-        merged, left, [prefix + c for c in right_obs], look_back, look_ahead, slice_width
+        merged, left, [prefix + c for c in right_obs], look_back, look_ahead, slice_width, left_order
     ).filter(F.col(_SIDE) == 0)
     both = [c for c in left.observations if c in right_obs]
     return filled.select(
@@ -198,5 +201,5 @@ def asof_join(
         left = TimeSeries(renamed, left_prefix + left.ts, left.keys)
     merged = _merged(left, right, right_prefix, tie_break or [])
     right_cols = [right_prefix + c for c in [*right.observations, right.ts]]
-    filled = _fill_right(merged, left, right_cols, look_back, look_ahead, slice_width)
+    filled = _fill_right(merged, left, right_cols, look_back, look_ahead, slice_width, None)
     return filled.select(left.ts, *left.keys, *left.observations, *right_cols)

@@ -468,7 +468,7 @@ def cluster_state_fact(
     df = states.withColumn("timestamp", F.col("unixTimeMS_state_start"))
     for lookup in (from_spec, from_snapshot):
         lookup = TimeSeries(materialize(lookup.df, "priced"), "timestamp", keys)
-        df = asof_lookup(TimeSeries(df, "timestamp", keys), lookup, look_ahead=1)
+        df = asof_lookup(TimeSeries(df, "timestamp", keys), lookup, look_ahead=1, left_order=["state"])
         df = materialize(df, "state-lookup")
     df = df.drop("timestamp", "cluster_type")
 

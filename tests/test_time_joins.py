@@ -60,6 +60,13 @@ def test_asof_limits_equal_brute_force(spark, back, ahead):
     assert {x["id"]: x["v"] for x in got.collect()} == brute_lookup(left, right, back, ahead)
 
 
+def test_left_order_decides_ties(spark):
+    left = TimeSeries(spark.createDataFrame([(5, 1, i) for i in (3, 1, 2)], "timestamp long, jobId int, id int"), "timestamp", ["jobId"])
+    right = TimeSeries(spark.createDataFrame([(5, 1, "x")], "timestamp long, jobId int, v string"), "timestamp", ["jobId"])
+    got = asof_lookup(left, right, look_back=0, look_ahead=1, left_order=["id"])
+    assert {r["id"]: r["v"] for r in got.collect()} == {1: None, 2: None, 3: "x"}
+
+
 def test_asof_join_keeps_both_sides(spark):
     left = series(spark, LEFT, "timestamp int, jobId int")
     right = series(spark, RIGHT, "timestamp int, jobId int, jobName string")
