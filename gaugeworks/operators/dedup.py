@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gaugeworks.operators.scan import row_numbers
+
 
 def keep_first(df: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
     """The first row of every key in the given order.
@@ -30,19 +32,15 @@ def latest_snapshot(df: DataFrame, tenant: list[str], ts: str) -> DataFrame:
     return df.join(newest, [*tenant, ts], "left_semi")
 
 
-def duplicates(df: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
+def duplicates(df: DataFrame, keys: list[str], order: list[str], slice_by: Column) -> DataFrame:
     """All rows but the first of every key, numbered.
 
-    Every row stays, so keys are counted first and only rows of repeated keys
-    enter the window.
+    Keys are counted first, so only rows of repeated keys are ordered; those
+    of one key are numbered slice by slice.
     """
     repeated = df.groupBy(*keys).count().filter("count > 1").drop("count")
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return (
-        df.join(repeated, keys, "left_semi")
-        .withColumn("rn", F.row_number().over(w))
-        .filter(F.col("rn") > 1)
-    )
+    surplus = df.join(repeated, keys, "left_semi")
+    return row_numbers(surplus, keys, order, slice_by).filter(F.col("rn") > 1)
 
 
 def drop_duplicate_keys(df: DataFrame, keys: list[str], order: list[Column | str]) -> tuple[DataFrame, DataFrame]:

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gaugeworks.session import scratch_path
+
 STRING_MAP = T.MapType(T.StringType(), T.StringType(), True)
 
 # The marker and the name rules decide the resulting names.
@@ -116,8 +118,11 @@ def json_schema(df: DataFrame, column: str) -> T.StructType | T.DataType:
         raise ValueError(f"the frame has no column {column}")
     if not isinstance(kind, T.StringType):
         raise ValueError(f"{column} must be JSON text")
-    texts = df.select(F.col(_quoted(column)).alias("value")).filter("value is not null and trim(value) <> ''")
-    return df.sparkSession.read.json(texts.rdd.map(lambda r: r[0])).schema
+    # line breaks in JSON text are only white space; one text a line can be read back by the JVM
+    texts = df.select(F.regexp_replace(_quoted(column), "[\\r\\n]+", " ").alias("value"))
+    path = scratch_path(df.sparkSession, "json")
+    texts.filter("value is not null and trim(value) <> ''").write.text(path)
+    return df.sparkSession.read.json(path).schema
 
 
 def struct_from_json(

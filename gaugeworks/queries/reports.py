@@ -43,11 +43,12 @@ def dup_report(t: Tables):
 
 @query(
     "dq_02_duplicate_rows",
-    """SELECT l_orderkey, l_linenumber, l_partkey, CAST(rn AS INTEGER) AS rn FROM (SELECT *, row_number() OVER
+    """SELECT l_orderkey, l_linenumber, l_partkey, CAST(rn AS BIGINT) AS rn FROM (SELECT *, row_number() OVER
   (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_quantity) AS rn FROM lineitem) WHERE rn > 1""",
 )
 def dup_rows(t: Tables):
-    out = Q.duplicate_rows(t.lineitem, ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey", "l_quantity"])
+    order = ["l_partkey", "l_suppkey", "l_quantity"]
+    out = Q.duplicate_rows(t.lineitem, ["l_orderkey", "l_linenumber"], order, F.floor(F.col("l_partkey") / 100_000))
     return out.select("l_orderkey", "l_linenumber", "l_partkey", "rn")
 
 
