@@ -1 +1,8 @@
 """Operators for preparing training corpora; nothing else in the library imports them."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions go to the executors by value, so the package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
