@@ -20,7 +20,10 @@ def line_key(line: Column) -> Column:
     return F.btrim(ascii_lower(line), F.lit(BLANKS))
 
 
-@F.pandas_udf("struct<kept:string,n_lines:long,n_dropped:long>")
+_LINES = T.StructType().add("kept", T.StringType()).add("n_lines", T.LongType()).add("n_dropped", T.LongType())
+
+
+@F.pandas_udf(_LINES)
 def _without(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
     for texts, positions in batches:
         out = []

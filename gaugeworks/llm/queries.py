@@ -10,6 +10,8 @@ MODULES = [
     "url_filter",
     "sharding",
     "line_dedup",
+    "quality_classifier",
+    "simhash",
 ]
 
 for _name in MODULES:
