@@ -12,6 +12,7 @@ MODULES = [
     "line_dedup",
     "quality_classifier",
     "simhash",
+    "packing",
 ]
 
 for _name in MODULES:
