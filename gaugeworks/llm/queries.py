@@ -13,6 +13,7 @@ MODULES = [
     "quality_classifier",
     "simhash",
     "packing",
+    "mixing",
 ]
 
 for _name in MODULES:
