@@ -14,6 +14,7 @@ MODULES = [
     "simhash",
     "packing",
     "mixing",
+    "multi_index",
 ]
 
 for _name in MODULES:
