@@ -15,6 +15,7 @@ MODULES = [
     "packing",
     "mixing",
     "multi_index",
+    "quality_rules",
 ]
 
 for _name in MODULES:
