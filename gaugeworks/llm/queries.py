@@ -16,6 +16,7 @@ MODULES = [
     "mixing",
     "multi_index",
     "quality_rules",
+    "lm_scoring",
 ]
 
 for _name in MODULES:
