@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gaugeworks.operators.dedup import row_hash
 from gaugeworks.operators.fill import nearest
 from gaugeworks.operators.frames import BLOCK_ROWS, in_blocks, range_frame, rows_frame
 from gaugeworks.operators.scan import Running, ordered_scan
@@ -54,7 +55,7 @@ def _merged(left: TimeSeries, right: TimeSeries, prefix: str, tie_break: list[st
     if len(left.keys) != len(right.keys):
         raise ValueError("both series need the same number of keys")
     lefts = left.df.select("*", F.lit(0).alias(_SIDE))
-    seq = [F.xxhash64(*tie_break).alias(_SEQ)] if tie_break else []
+    seq = F.xxhash64(*tie_break) if tie_break else row_hash(right.df)
     rights = right.df.select(
         F.col(right.ts).cast(left.df.schema[left.ts].dataType).alias(left.ts),
         *[
@@ -64,7 +65,7 @@ def _merged(left: TimeSeries, right: TimeSeries, prefix: str, tie_break: list[st
         *[F.col(c).alias(prefix + c) for c in right.observations],
         F.col(right.ts).alias(prefix + right.ts),
         F.lit(1).alias(_SIDE),
-        *seq,
+        seq.alias(_SEQ),
     )
     return lefts.unionByName(rights, allowMissingColumns=True)
 
@@ -78,7 +79,7 @@ def _fill_right(
     slice_width: int | None,
     left_order: list[str] | None,
 ) -> DataFrame:
-    order = [left.ts, _SIDE, *(left_order or []), *([_SEQ] if _SEQ in merged.columns else [])]
+    order = [left.ts, _SIDE, *(left_order or []), _SEQ]
     by = time_slice(merged, left.ts, slice_width)
     if look_back > 0 or look_ahead > 1:
         return _fill_right_near(merged, left, right_cols, look_back, look_ahead, order, by)
@@ -155,7 +156,7 @@ def asof_lookup(
     rows. Limits count rows of the merged stream; -1 is unbounded. A right row
     of the same time as a left row comes after it. A column on both sides
     keeps the left value where there is one. ``tie_break`` names right columns
-    that order right rows of the same time, ``left_order`` left columns that
+    whose hash orders right rows of the same time (all of them unless named), ``left_order`` left columns that
     order left rows of the same time, which matters for limits only.
     """
     prefix = "__r_"

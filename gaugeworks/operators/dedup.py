@@ -4,17 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gaugeworks.operators.scan import row_numbers
 
 
+def row_hash(df: DataFrame) -> Column:
+    """A hash of the whole row, as a last tie order that a repeated task finds again."""
+    parts = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        plain = isinstance(f.dataType, T.AtomicType) and not isinstance(f.dataType, T.VariantType)
+        parts.append(c if plain else F.to_json(F.struct(c)))
+    return F.xxhash64(*parts)
+
+
 def keep_first(df: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
-    """The first row of every key in the given order.
+    """The first row of every key in the given order; ties go by the hash of the row.
 
     Spark cuts every map task's rows down to one per key before the shuffle,
     so a key with many copies does not load one task.
     """
-    w = Window.partitionBy(*keys).orderBy(*order)
+    w = Window.partitionBy(*keys).orderBy(*order, row_hash(df))
     return df.withColumn("__rank", F.row_number().over(w)).filter(F.col("__rank") == 1).drop("__rank")
 
 

@@ -77,11 +77,11 @@ def near_value(
     order: list[str],
     columns: dict[str, tuple[str, str]],
     slice_by: Column | None,
-    within: int | None = 1000,
+    within: int | None = None,
     exclusive: bool = False,
     block: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Nearest known value at most ``within`` rows away.
+    """Nearest known value at most ``within`` rows away (None: at any distance).
 
     ``columns`` maps an output name to a source column and a side: ``first``
     looks at the row and later ones, ``last`` at the row and earlier ones. A

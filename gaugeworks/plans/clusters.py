@@ -167,7 +167,7 @@ def cluster_base(audit: DataFrame) -> DataFrame:
         )
     )
     order, by = ["timestamp", "requestId"], day_of_ms(F.col("timestamp"))
-    # names find their id, then ids their name, in the next thousand records
+    # names find their id, then ids their name, in later records
     raw = materialize(raw, "cluster-audit")
     raw = near_value(raw, [TENANT, "cluster_name"], order, {"__id": ("cluster_id", "first")}, by)
     raw = materialize(raw.withColumn("cluster_id", F.col("__id")).drop("__id"), "cluster-ids")
@@ -354,8 +354,11 @@ def _look_up_pools(spec: DataFrame, pools: DataFrame, name: str, node: str) -> D
 # --- states -----------------------------------------------------------------
 
 
-def cluster_state_detail(events: DataFrame, until_ms: int) -> DataFrame:
-    """States of each cluster with their times, workers, uptime and what is billed."""
+def cluster_state_detail(events: DataFrame, until_ms: int, within: int | None = None) -> DataFrame:
+    """States of each cluster with their times, workers, uptime and what is billed.
+
+    ``within`` limits how many rows away a switch or worker count may be found (None: no limit).
+    """
     keys = [TENANT, "cluster_id"]
     by = day_of_ms(F.col("timestamp"))
     flat = events.select(
@@ -366,7 +369,7 @@ def cluster_state_detail(events: DataFrame, until_ms: int) -> DataFrame:
         F.col("details.cluster_size.autoscale.min_workers").alias("__min"),
     )
     sized = F.coalesce("current_num_workers", "__size", "__min")
-    rows = infer_running(flat, keys, "timestamp", ["event_type"], "state", by, sized)
+    rows = infer_running(flat, keys, "timestamp", ["event_type"], "state", by, sized, within)
 
     running = F.col("is_running")
     current = F.coalesce(F.when(running, F.coalesce(sized, F.col("workers_before"))), F.lit(0))

@@ -301,7 +301,7 @@ def cluster_audit(t: Tables) -> DataFrame:
 _SPEC = f"""WITH e AS (SELECT *, 't' || user_id % 2 AS org, 'c' || user_id AS cid, epoch_us(ts) // 1000 AS t, 'r' || event_id AS rid, {_K} AS k, 'u' || event_id % 11 AS who FROM events),
 b AS (SELECT *, CASE WHEN event_type IN ('signup', 'click') THEN CASE WHEN user_id % 4 = 0 THEN 'job-' || user_id || '-run-1' ELSE 'cl' || user_id END END AS name0
   FROM e WHERE event_type <> 'purchase'),
-n AS (SELECT *, first_value(name0 IGNORE NULLS) OVER (PARTITION BY org, cid ORDER BY t, rid ROWS BETWEEN CURRENT ROW AND 1000 FOLLOWING) AS name FROM b),
+n AS (SELECT *, first_value(name0 IGNORE NULLS) OVER (PARTITION BY org, cid ORDER BY t, rid ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS name FROM b),
 c AS (SELECT * FROM n WHERE event_type IN ('signup', 'view')),
 p AS (SELECT org, user_id, t, 'n' || k AS pnode, 'ap' || k AS pname FROM e WHERE event_type = 'purchase'),
 a AS (SELECT c.*, CASE WHEN c.user_id % 3 = 0 THEN p.pnode END AS pnode, CASE WHEN c.user_id % 3 = 0 THEN p.pname END AS pname
@@ -311,7 +311,7 @@ g AS (SELECT *, coalesce(name LIKE 'job-%-run-%', false) AS auto, k % 10 = 0 AS
   CASE WHEN event_type = 'signup' THEN CASE WHEN name LIKE 'job-%-run-%' THEN 'JobsService' WHEN name IS NOT NULL THEN who END END AS cr0,
   CASE WHEN event_type = 'view' AND NOT name LIKE 'job-%-run-%' THEN who END AS ed0 FROM a),
 f AS (SELECT *, last_value(d0 IGNORE NULLS) OVER w AS dprev, last_value(v0 IGNORE NULLS) OVER w AS version, last_value(cr0 IGNORE NULLS) OVER w AS cprev,
-  last_value(ed0 IGNORE NULLS) OVER w AS eprev FROM g WINDOW w AS (PARTITION BY org, cid ORDER BY t, rid ROWS BETWEEN 1000 PRECEDING AND CURRENT ROW)),
+  last_value(ed0 IGNORE NULLS) OVER w AS eprev FROM g WINDOW w AS (PARTITION BY org, cid ORDER BY t, rid ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
 x AS (SELECT org, user_id, min_by(who, t) AS deleted_by FROM e WHERE event_type = 'error' GROUP BY 1, 2),
 o AS (SELECT f.org AS organization_id, cid AS cluster_id, t AS at_ms, CASE f.event_type WHEN 'signup' THEN 'create' ELSE 'edit' END AS action, name AS cluster_name,
   CASE WHEN f.user_id % 3 = 0 THEN coalesce(pnode, 'n' || (SELECT c_nationkey FROM customer WHERE c_custkey = f.user_id), 'n' || k) WHEN auto THEN coalesce(d0, 'n' || k)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeworks.operators import aggregates, dedup, fill, sessions
@@ -197,30 +198,40 @@ def imputed(t: Tables):
     return out.select("user_id", "event_id", "at_ms", "state", "imputed")
 
 
-@query(
-    "win_09_running_inference",
-    _IMPUTED
-    + """, p AS (SELECT *,
-  last_value(sw IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY at_ms, event_id, imputed ROWS BETWEEN 1000 PRECEDING AND 1 PRECEDING) AS prv,
-  first_value(sw IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY at_ms, event_id, imputed ROWS BETWEEN 1 FOLLOWING AND 1000 FOLLOWING) AS nx
+def _running_sql(before: str, after: str) -> str:
+    w = "PARTITION BY user_id ORDER BY at_ms, event_id, imputed ROWS BETWEEN"
+    back, ahead = f"{w} {before} PRECEDING AND 1 PRECEDING", f"{w} 1 FOLLOWING AND {after} FOLLOWING"
+    return (
+        _IMPUTED
+        + f""", p AS (SELECT *, last_value(sw IGNORE NULLS) OVER ({back}) AS prv, first_value(sw IGNORE NULLS) OVER ({ahead}) AS nx
   FROM i),
 o AS (SELECT *, coalesce(CASE WHEN imputed THEN false END, sw, prv, NOT nx) AS on1 FROM p),
 a AS (SELECT *, CASE WHEN on1 IS NULL AND state IN ('RUNNING', 'CREATING', 'RESIZING') THEN true ELSE on1 END AS on2 FROM o),
-f AS (SELECT *, coalesce(on2,
-  last_value(on2 IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY at_ms, event_id, imputed ROWS BETWEEN 1000 PRECEDING AND 1 PRECEDING),
-  NOT first_value(on2 IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY at_ms, event_id, imputed ROWS BETWEEN 1 FOLLOWING AND 1000 FOLLOWING),
+f AS (SELECT *, coalesce(on2, last_value(on2 IGNORE NULLS) OVER ({back}), NOT first_value(on2 IGNORE NULLS) OVER ({ahead}),
   false) AS on3 FROM a),
 g AS (SELECT *, lag(on3) OVER (PARTITION BY user_id ORDER BY at_ms, event_id, imputed) AS was FROM f)
 SELECT event_id, at_ms, imputed, state,
-  CASE WHEN was = false AND state = 'EXPANDED_DISK' THEN false ELSE on3 END AS is_running FROM g""",
-)
-def running(t: Tables):
-    out = sessions.infer_running(
-        states(t), ["user_id"], "at_ms", ["event_id"], "state", F.floor(F.col("at_ms") / 86_400_000)
+  CASE WHEN was = false AND state = 'EXPANDED_DISK' THEN false ELSE on3 END AS is_running FROM g"""
     )
+
+
+def _inferred(t: Tables, within: int | None) -> DataFrame:
+    by = F.floor(F.col("at_ms") / 86_400_000)
+    out = sessions.infer_running(states(t), ["user_id"], "at_ms", ["event_id"], "state", by, within=within)
     return out.select("event_id", "at_ms", "imputed", "state", "is_running")
 
 
+@query("win_09_running_inference", _running_sql("UNBOUNDED", "UNBOUNDED"))
+def running(t: Tables):
+    return _inferred(t, None)
+
+
+@query("win_09_running_inference_limit", _running_sql("2", "2"))
+def running_near(t: Tables):
+    """Only values at most two rows away count."""
+    return _inferred(t, 2)
+
+
 @query(
     "win_10_prior_rows",
     """SELECT o_orderkey, max(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey

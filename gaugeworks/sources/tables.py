@@ -21,6 +21,10 @@ TENANT = "organization_id"
 NOISE = "part_noise"
 NOISE_BUCKETS = 32
 FULL, INSERT_ONLY, UPDATE_ONLY = "full", "insertOnly", "updateOnly"
+# Marks the one row that stands for a partition without rows; readers leave it out.
+EMPTIED = "partition_is_empty"
+# Touched partition values that are named one by one in a filter; beyond, their range.
+MAX_NAMED_VALUES = 1_000
 
 
 @dataclass(frozen=True)
@@ -54,6 +58,8 @@ def read_table(spark: SparkSession, spec: TableSpec, filters: list[Column] | Non
         if spec.required is None:
             raise
         return spark.createDataFrame([], spec.required)
+    if EMPTIED in df.columns:
+        df = df.filter(F.col(EMPTIED).isNull()).drop(EMPTIED)
     return enforce_schema(apply_filters(df, filters or []), spec.required)
 
 
@@ -126,9 +132,8 @@ def prepare_write(
     df = df.withColumns(stamped)
     if not spec.dedup:
         return df
-    order = [F.col(c) for c in spec.tie_break] or [F.lit(1)]
     keys = [c for c in spec.match_keys if c in df.columns]
-    return keep_first(df, keys, order)
+    return keep_first(df, keys, list(spec.tie_break))
 
 
 def write_layout(df: DataFrame, spec: TableSpec) -> DataFrame:
@@ -158,29 +163,67 @@ def write_table(df: DataFrame, spec: TableSpec) -> None:
     writer.option("partitionOverwriteMode", "static").partitionBy(*spec.partition_by).parquet(spec.path)
 
 
+def same_values(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
+    """Equality of columns in which nulls are equal too."""
+    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in columns])
+
+
+def _semi(left: DataFrame, right: DataFrame, columns: list[str], how: str = "left_semi") -> DataFrame:
+    return left.join(right, same_values(left, right, columns), how)
+
+
+def touched_filter(rows: DataFrame, columns: list[str]) -> Column:
+    """A filter of literals for the partition values that occur in `rows`.
+
+    Literals let Spark prune the partitions before it lists and reads files. The
+    values of a column are named one by one up to a bound, else by their range; it
+    may let other partitions pass, so a join on the exact values follows.
+    """
+    kinds = {c: F.col(c) for c in columns}
+    asked = []
+    for c, v in kinds.items():
+        asked += [F.count_distinct(v).alias(f"n_{c}"), F.min(v).alias(f"min_{c}"), F.max(v).alias(f"max_{c}")]
+        asked.append(F.count_if(v.isNull()).alias(f"null_{c}"))
+    facts = rows.agg(*asked).first()
+    out = F.lit(True)
+    for c, v in kinds.items():
+        if facts[f"n_{c}"] <= MAX_NAMED_VALUES:
+            named = [r[0] for r in rows.select(c).filter(v.isNotNull()).distinct().collect()]
+            hit = v.isin(*named) if named else F.lit(False)
+        else:
+            hit = v.between(F.lit(facts[f"min_{c}"]), F.lit(facts[f"max_{c}"]))
+        out = out & ((hit | v.isNull()) if facts[f"null_{c}"] else hit)
+    return out
+
+
+def touched_part(spark: SparkSession, spec: TableSpec, touched: DataFrame) -> DataFrame:
+    """The rows of the stored table in the partitions of `touched`."""
+    parts = list(spec.partition_by)
+    return _semi(read_table(spark, spec, [touched_filter(touched, parts)]), touched, parts)
+
+
 def upsert(updates: DataFrame, spec: TableSpec) -> None:
-    """Merge rows into a table by its keys.
+    """Merge rows into a table by its keys; null keys and partition values match each other.
 
     Only the partitions the updates touch are read and rewritten. The merged
     rows are first written to the shared folder, since a folder cannot be read
     and overwritten in one job. One writer per table at a time.
     """
     spark = updates.sparkSession
-    target = read_table(spark, spec)
     updates = materialize(write_layout(updates, spec), f"upsert-{spec.name}")
     keys, parts = spec.match_keys, list(spec.partition_by)
     if parts:
-        touched = updates.select(*parts).distinct()
-        target = target.join(touched, parts, "left_semi")
-    fresh = updates.select(*keys)
-    old = target.select(*keys)
+        target = touched_part(spark, spec, materialize(updates.select(*parts).distinct(), f"touched-{spec.name}"))
+    else:
+        target = read_table(spark, spec)
+    fresh, old = updates.select(*keys), target.select(*keys)
     if spec.scope == INSERT_ONLY:
-        merged = target.unionByName(updates.join(old, keys, "left_anti"), allowMissingColumns=True)
+        merged = target.unionByName(_semi(updates, old, keys, "left_anti"), allowMissingColumns=True)
     elif spec.scope == UPDATE_ONLY:
-        changed = updates.join(old, keys, "left_semi")
-        merged = target.join(fresh, keys, "left_anti").unionByName(changed, allowMissingColumns=True)
+        changed = _semi(updates, old, keys)
+        merged = _semi(target, fresh, keys, "left_anti").unionByName(changed, allowMissingColumns=True)
     else:
-        merged = target.join(fresh, keys, "left_anti").unionByName(updates, allowMissingColumns=True)
+        merged = _semi(target, fresh, keys, "left_anti").unionByName(updates, allowMissingColumns=True)
     _replace_partitions(materialize(merged, f"merge-{spec.name}"), spec)
 
 
@@ -197,8 +240,10 @@ def rewrite_where(
 ) -> int:
     """Delete (``change`` None) or change the rows that meet a condition; their number.
 
-    Reads and rewrites the partitions with such rows only. Partitions left
-    without rows are removed; their list is as long as the touched partitions.
+    Reads and rewrites the partitions with such rows only. A partition left without
+    rows is overwritten by one row that marks it as empty (see EMPTIED), in the same
+    write, so no folder is named or removed by hand. A change must leave the
+    partition columns as they are.
     """
     table = read_table(spark, spec)
     hit = F.coalesce(condition, F.lit(False))
@@ -206,18 +251,19 @@ def rewrite_where(
     if n == 0:
         return 0
     parts = list(spec.partition_by)
-    scope = table
+    scope, touched = table, None
     if parts:
         touched = materialize(table.filter(hit).select(*parts).distinct(), f"touched-{spec.name}")
-        scope = table.join(touched, parts, "left_semi")
+        scope = touched_part(spark, spec, touched)
     rest = scope.filter(~hit)
     if change is not None:
         rest = rest.unionByName(change(scope.filter(hit)), allowMissingColumns=True)
     staged = materialize(rest, f"rewrite-{spec.name}")
+    if touched is not None:
+        gone = _semi(touched, staged.select(*parts).distinct(), parts, "left_anti")
+        if gone.take(1):
+            staged = staged.unionByName(gone.withColumn(EMPTIED, F.lit(True)), allowMissingColumns=True)
     _replace_partitions(staged, spec)
-    if parts and change is None:
-        emptied = touched.join(staged.select(*parts).distinct(), parts, "left_anti").collect()
-        _remove_partitions(spark, spec, [r.asDict() for r in emptied])
     return n
 
 
@@ -226,18 +272,12 @@ def delete_where(spark: SparkSession, spec: TableSpec, condition: Column) -> int
 
 
 def update_where(spark: SparkSession, spec: TableSpec, condition: Column, values: dict[str, Column]) -> int:
+    moved = set(values) & set(spec.partition_by)
+    if moved:
+        raise ValueError(f"partition columns cannot be changed in place: {sorted(moved)}")
     return rewrite_where(spark, spec, condition, lambda df: df.withColumns(values))
 
 
-def _remove_partitions(spark: SparkSession, spec: TableSpec, partitions: list[dict]) -> None:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for values in partitions:
-        folder = "/".join(f"{c}={values[c]}" for c in spec.partition_by)
-        path = jvm.org.apache.hadoop.fs.Path(f"{spec.path}/{folder}")
-        path.getFileSystem(conf).delete(path, True)
-
-
 def rollback_run(spark: SparkSession, specs: list[TableSpec], run_id: str, tracker: TableSpec | None = None) -> DataFrame:
     """Delete what a run wrote from tables that belong together.
 
@@ -266,10 +306,21 @@ def at_or_after(schema: T.StructType, columns: list[str], instant_ms: int) -> Co
 
 
 def delete_duplicates(spark: SparkSession, spec: TableSpec, order: list[Column | str]) -> DataFrame:
-    """Keep one row per key in the stored table; the report of dropped rows."""
-    kept, report = drop_duplicate_keys(read_table(spark, spec), spec.match_keys, order)
+    """Keep one row per key in the stored table; the report of dropped rows.
+
+    Only partitions that hold repeated keys are rewritten.
+    """
+    keys, parts = spec.match_keys, list(spec.partition_by)
+    table = read_table(spark, spec)
+    _, report = drop_duplicate_keys(table, keys, order)
     report = materialize(report, f"dups-{spec.name}")
-    _replace_partitions(materialize(kept, f"dedup-{spec.name}"), spec)
+    if report.first().rows_dropped == 0:
+        return report
+    scope = table
+    if parts:
+        repeated = table.groupBy(*keys).count().filter("count > 1")
+        scope = touched_part(spark, spec, materialize(repeated.select(*parts).distinct(), f"repeated-{spec.name}"))
+    _replace_partitions(materialize(keep_first(scope, keys, order), f"dedup-{spec.name}"), spec)
     return report
 
 
@@ -294,7 +345,9 @@ def snapshot_tables(
             continue
         to = f"{target_root}/{spec.name}"
         try:
-            read_table(spark, spec).write.mode("overwrite").partitionBy(*spec.partition_by).parquet(to)
+            # a copy must not keep partitions of an earlier one
+            writer = read_table(spark, spec).write.mode("overwrite").option("partitionOverwriteMode", "static")
+            writer.partitionBy(*spec.partition_by).parquet(to)
             report.append((spec.name, spec.path, to, "SUCCESS"))
         except AnalysisException as e:
             report.append((spec.name, spec.path, to, f"FAILED: {e.getCondition()}"))

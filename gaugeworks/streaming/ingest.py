@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,17 +19,20 @@ from gaugeworks.sources.tables import TENANT, TableSpec, upsert, write_table, ex
 def message_stream(
     spark: SparkSession, path: str, schema: T.StructType | str, tenant: str, run_id: str, *,
     max_files: int | None = None, fmt: str = "json", after: dt.datetime | None = None, event_time: str | None = None,
+    late_ms: int = 0,
 ) -> DataFrame:
     """Messages landed as files, with body as text, tenant and run id.
 
-    ``after`` continues behind an instant when a checkpoint was lost.
+    ``after`` goes on from an instant when a checkpoint was lost. Messages of that
+    very instant are read again, since some may not have been read before; drop the
+    copies by key (see ``resume_rows``). ``late_ms`` reads that much earlier.
     """
     reader = spark.readStream.format(fmt).schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     df = reader.load(path)
     if after is not None and event_time:
-        df = df.filter(F.col(event_time) > F.lit(after))
+        df = df.filter(F.col(event_time) >= F.lit(after - dt.timedelta(milliseconds=late_ms)))
     if "body" in df.columns:
         df = df.withColumn("deserializedBody", F.col("body").cast("string"))
     return df.withColumns({TENANT: F.lit(tenant), "run_id": F.lit(run_id)})
@@ -49,10 +54,11 @@ class StopWhenQuiet(StreamingQueryListener):
     """Remembers when a batch had no more than a number of rows."""
 
     def __init__(self, query_name: str, min_rows: int):
-        self.query_name, self.min_rows, self.quiet = query_name, min_rows, False
+        self.query_name, self.min_rows, self.quiet, self.run_id = query_name, min_rows, False, None
 
     def onQueryStarted(self, event):
-        pass
+        if event.name == self.query_name:
+            self.run_id = event.runId
 
     def onQueryProgress(self, event):
         p = event.progress
@@ -60,17 +66,22 @@ class StopWhenQuiet(StreamingQueryListener):
             self.quiet = True
 
     def onQueryIdle(self, event):
-        self.quiet = True
+        if self.run_id is not None and event.runId == self.run_id:
+            self.quiet = True
 
     def onQueryTerminated(self, event):
         pass
 
 
 def run_until_quiet(
-    df: DataFrame, path: str, checkpoint: str, name: str, min_rows: int, interval: str = "1 second",
-    timeout_s: int = 600,
+    df: DataFrame, path: str, checkpoint: str, name: str, min_rows: int, timeout_s: int | None,
+    interval: str = "1 second",
 ) -> StreamingQuery:
-    """Run a continuous query and stop it at the first quiet batch."""
+    """Run a continuous query and stop it at the first quiet batch.
+
+    After ``timeout_s`` seconds (None: never) it stops waiting for one, reads what
+    is there and stops.
+    """
     spark = df.sparkSession
     listener = StopWhenQuiet(name, min_rows)
     spark.streams.addListener(listener)
@@ -85,7 +96,7 @@ def run_until_quiet(
     )
     try:
         waited = 0
-        while query.isActive and not listener.quiet and waited < timeout_s:
+        while query.isActive and not listener.quiet and (timeout_s is None or waited < timeout_s):
             query.awaitTermination(1)
             waited += 1
         query.processAllAvailable()
@@ -95,6 +106,12 @@ def run_until_quiet(
     return query
 
 
+def resume_rows(again: DataFrame, landed: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows of a restarted read that had not landed before, each key once."""
+    new = again.join(landed.select(*keys), reduce(and_, [again[k].eqNullSafe(landed[k]) for k in keys]), "left_anti")
+    return keep_first(new, keys, [])
+
+
 def resume_point(landed: DataFrame, event_time: str):
     """Newest event time already landed; where to go on without a checkpoint."""
     return landed.agg(F.max(event_time).alias("at")).first()["at"]
