@@ -121,18 +121,33 @@ def contained_join(
 ) -> DataFrame:
     """Pairs of a run and a state strictly inside it (states start after, end before).
 
-    A state lies in the bucket of its start; a run is listed in every bucket
-    it touches. Only rows of the same key and bucket meet.
+    Buckets grow with the states: a state lies in the bucket of its start, of the
+    smallest width bucket * 2**n that is not below its length. A run is listed in
+    every bucket it touches, of those widths only whose states it can hold, so long
+    states do not meet short runs. Only rows of the same key, width and bucket meet.
     """
     (rs, re), (ss, se) = run, state
-    listed = runs.filter(F.col(re) >= F.col(rs)).withColumn(
-        "__bucket", F.explode(F.sequence(F.floor(F.col(rs) / bucket), F.floor(F.col(re) / bucket)))
+    run_length, state_length = F.col(re) - F.col(rs), F.col(se) - F.col(ss)
+
+    def doublings(ratio: Column) -> Column:
+        """The least n with 2**n >= ratio, at least 0."""
+        return F.greatest(F.ceil(F.log2(F.greatest(ratio, F.lit(1.0)))), F.lit(0)).cast("int")
+
+    # a state of the width 2**n is longer than half of that, and the run is longer still
+    most = doublings(run_length / bucket)
+    width = F.lit(bucket).cast("bigint") * F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("__width"))
+    listed = (
+        runs.filter(run_length >= 0)
+        .withColumn("__width", F.explode(F.sequence(F.lit(0), most)))
+        .withColumn("__bucket", F.explode(F.sequence(F.floor(F.col(rs) / width), F.floor(F.col(re) / width))))
+    )
+    placed = states.withColumn("__width", doublings(state_length / bucket)).withColumn(
+        "__bucket", F.floor(F.col(ss) / width)
     )
-    placed = states.withColumn("__bucket", F.floor(F.col(ss) / bucket))
     return (
-        listed.join(placed, [*keys, "__bucket"])
+        listed.join(placed, [*keys, "__width", "__bucket"])
         .filter((F.col(ss) > F.col(rs)) & (F.col(se) < F.col(re)))
-        .drop("__bucket")
+        .drop("__width", "__bucket")
     )
 
 

@@ -134,5 +134,6 @@ def spark_events(
     found = files.discover_files(spark, roots, glob, from_ms, until_ms)
     fresh = files.new_files(found, processed).withColumn(TENANT, F.lit(tenant))
     readable = fresh.filter(~F.col("failed") & F.col("withinSpecifiedTimeRange"))
-    events, bad = files.read_event_logs(spark, roots, readable, tenant, glob, schema)
+    good, _ = files.readable_roots(spark, roots, glob)
+    events, bad = files.read_event_logs(spark, good, readable, tenant, glob, schema, from_ms, until_ms)
     return events, bad, fresh

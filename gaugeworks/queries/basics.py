@@ -77,12 +77,11 @@ def nest(t: Tables):
 @query(
     "agg_04_ordered_lists",
     """SELECT user_id, event_type, string_agg(event_id::VARCHAR, ',' ORDER BY event_id) AS ids
-FROM events WHERE event_type IN ('purchase', 'error') GROUP BY 1, 2""",
+FROM events GROUP BY 1, 2""",
 )
 def lists(t: Tables):
-    e = t.events.filter(F.col("event_type").isin("purchase", "error"))
     keys = ["user_id", "event_type"]
-    out = aggregates.ordered_list(e, keys, "event_id", ["event_id"], "ids", F.floor(F.col("event_id") / 100_000))
+    out = aggregates.ordered_list(t.events, keys, "event_id", ["event_id"], "ids", F.floor(F.col("event_id") / 100_000))
     return out.select(*keys, F.array_join(F.col("ids").cast("array<string>"), ",").alias("ids"))
 
 
@@ -176,11 +175,11 @@ def top_groups(t: Tables):
 
 @query(
     "set_01_union_by_name",
-    """SELECT event_id AS id, value, props, NULL::VARCHAR AS note FROM events WHERE event_type = 'view'
+    """SELECT event_id AS id, value, props, NULL::VARCHAR AS note FROM events
 UNION ALL SELECT o_orderkey, o_totalprice, NULL, o_orderpriority FROM orders""",
 )
 def union(t: Tables):
-    a = t.events.filter("event_type = 'view'").select(F.col("event_id").alias("id"), "value", "props")
+    a = t.events.select(F.col("event_id").alias("id"), "value", "props")
     b = t.orders.select(
         F.col("o_orderpriority").alias("note"), F.col("o_totalprice").alias("value"), F.col("o_orderkey").alias("id")
     )

@@ -608,7 +608,7 @@ def _snapshot_columns(df: DataFrame, absent: str) -> DataFrame:
 
 @query(
     "b_1004_audit_log",
-    """SELECT 'r' || event_id AS request_id, event_type AS action, strftime(ts, '%Y-%m-%d') AS date FROM events WHERE ts >= TIMESTAMP '2024-01-05'""",
+    """SELECT 'r' || event_id AS request_id, event_type AS action, strftime(ts, '%Y-%m-%d') AS date FROM events""",
 )
 def audit_bronze(t: Tables):
     """Two overlapping loads of dated folders with copies, merged by key."""
@@ -621,7 +621,7 @@ def audit_bronze(t: Tables):
         "audit_log", scratch_path(t.spark, "b1004t"), ("timestamp", "serviceName", "actionName", "requestId", "hashKey"),
         ("date",), (TENANT, "date"), mode="merge",
     )
-    for first, last in ((dt.date(2024, 1, 5), dt.date(2024, 1, 20)), (dt.date(2024, 1, 18), dt.date(2024, 2, 2))):
+    for first, last in ((dt.date(2023, 12, 1), dt.date(2024, 1, 20)), (dt.date(2024, 1, 18), dt.date(2025, 1, 1))):
         tables.write_table(bronze.audit_log(t.spark, root, "json", first, last, "t1"), spec)
     out = tables.read_table(t.spark, spec)
     return out.select(

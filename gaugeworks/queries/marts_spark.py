@@ -237,7 +237,7 @@ def gold_executor(t: Tables):
 def stream_events(t: Tables) -> DataFrame:
     """Progress of a stream per user, a batch per hundred events; each event comes twice."""
     b = F.floor(F.col("event_id") / 100)
-    e = t.events.filter("event_type = 'purchase'").groupBy("user_id", b.alias("b")).agg(F.min("ts").alias("ts"))
+    e = t.events.groupBy("user_id", b.alias("b")).agg(F.min("ts").alias("ts"))
     iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
     progress = F.to_json(
         F.struct(
@@ -267,7 +267,7 @@ def stream_events(t: Tables) -> DataFrame:
 @query(
     "g_3016_spark_stream",
     """WITH p AS (SELECT user_id, event_id // 100 AS b, min(epoch_us(ts)) // 1000 AS s, string_agg(event_id::VARCHAR, ',' ORDER BY event_id) AS ids
-  FROM events WHERE event_type = 'purchase' GROUP BY 1, 2)
+  FROM events GROUP BY 1, 2)
 SELECT 't' || user_id % 2 AS organization_id, 's' || user_id AS stream_id, b AS stream_batch_id, s AS at_ms, 'Progressed' AS segment,
   last_value(CASE WHEN b % 2 = 0 THEN 'q' || user_id END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY s, b ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS stream_name,
   '[{"rows":1}]' AS operators, '{"addBatch":5}' AS duration, ids AS execution_ids FROM p""",
@@ -290,7 +290,7 @@ def stream(t: Tables):
 
 st_05 = query(
     "st_05_streaming_mart",
-    "SELECT CAST(count(DISTINCT (user_id, event_id // 100)) AS BIGINT) AS batches, CAST(count(*) AS BIGINT) AS executions FROM events WHERE event_type = 'purchase'",
+    "SELECT CAST(count(DISTINCT (user_id, event_id // 100)) AS BIGINT) AS batches, CAST(count(*) AS BIGINT) AS executions FROM events",
 )
 
 
@@ -352,7 +352,7 @@ def event_log_files(t: Tables) -> str:
         text.alias("value"),
         F.concat(F.lit("c"), F.col("user_id") % 8).alias("cluster"),
         F.lit("eventlog").alias("kind"),
-        F.lit("host1").alias("host"),
+        F.lit("host 1%2+3").alias("host"),
         F.concat(F.lit("ctx"), F.col("user_id") % 8).alias("context"),
     )
     df.repartition("cluster").write.partitionBy("cluster", "kind", "host", "context").text(root)

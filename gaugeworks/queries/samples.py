@@ -159,7 +159,7 @@ def gold_runs(t: Tables) -> DataFrame:
     end = F.when(F.col("event_id") % 50 != 0, start + F.floor(F.col("value") * 600_000))
     none = F.lit(None).cast("string")
     kind = F.col("event_type")
-    return t.events.filter(kind.isin("purchase", "click")).select(
+    return t.events.select(
         tenant("user_id"),
         F.lit("north").alias("workspace_name"),
         F.col("user_id").alias("job_id"),
@@ -190,4 +190,4 @@ RUN_SQL = """
 runs AS (SELECT 't' || user_id % 2 AS org, 'c' || user_id AS cluster_id, user_id AS job_id, event_id AS run_id,
   CASE event_type WHEN 'purchase' THEN 'existing' ELSE 'new' END AS ctype, epoch_us(ts) // 1000 AS s,
   CASE WHEN event_id % 50 <> 0 THEN epoch_us(ts) // 1000 + CAST(floor(value * 600000) AS BIGINT) END AS e0
-  FROM events WHERE event_type IN ('purchase', 'click'))"""
+  FROM events)"""

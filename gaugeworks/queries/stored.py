@@ -113,17 +113,19 @@ def stream_source(t: Tables):
 
 @query(
     "src_05_file_discovery",
-    "SELECT count(DISTINCT CAST(ts AS DATE)) > 0 AS found, true AS all_sized, true AS all_in_range, false AS any_failed FROM events",
+    """SELECT strftime(ts, '%Y-%m-%d') AS day, true AS sized, true AS in_range, false AS failed, NULL AS reason FROM events GROUP BY 1
+UNION ALL SELECT 'absent', NULL, false, true, 'PATH_NOT_FOUND'""",
 )
 def discovery(t: Tables):
     root = scratch_path(t.spark, "found")
     audit_rows(t).write.partitionBy("date").json(root)
-    found = files.discover_files(t.spark, [root], "part-*", 0, epoch_ms(moment(2100, 1, 1)))
-    return found.agg(
-        (F.count_distinct(F.regexp_extract("filename", "date=([^/]+)", 1)) > 0).alias("found"),
-        F.bool_and(F.col("fileSize") > 0).alias("all_sized"),
-        F.bool_and("withinSpecifiedTimeRange").alias("all_in_range"),
-        F.bool_or("failed").alias("any_failed"),
+    found = files.discover_files(t.spark, [root, root + "/absent"], "part-*", 0, epoch_ms(moment(2100, 1, 1)))
+    day = F.regexp_extract("filename", "date=([^/]+)", 1)
+    return found.groupBy(F.when(day != "", day).otherwise("absent").alias("day")).agg(
+        F.bool_and(F.col("fileSize") > 0).alias("sized"),
+        F.bool_and("withinSpecifiedTimeRange").alias("in_range"),
+        F.bool_or("failed").alias("failed"),
+        F.max("failMsg").alias("reason"),
     )
 
 

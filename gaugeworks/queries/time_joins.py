@@ -249,15 +249,14 @@ _RUNS = """
 WITH r AS (SELECT user_id, event_id AS run_id, (epoch_us(ts) // 1000) AS s,
   epoch_ms(date_trunc('day', ts)) AS ss, epoch_ms(date_trunc('day', ts)) + 86399999 AS se,
   least((epoch_us(ts) // 1000) + CAST(floor(value * 600000) AS BIGINT), epoch_ms(date_trunc('day', ts)) + 86399999) AS e
-  FROM events WHERE event_type IN ('click', 'purchase', 'view'))
+  FROM events)
 """
 
 
 def day_runs(t: Tables):
     """Runs that start with an event, last by its value and end with the day at the latest."""
-    e = t.events.filter(F.col("event_type").isin("click", "purchase", "view"))
     day = F.unix_millis(F.date_trunc("day", "ts"))
-    return e.select(
+    return t.events.select(
         "user_id",
         F.col("event_id").alias("run_id"),
         ms("ts").alias("s"),
@@ -348,19 +347,19 @@ def assembly(t: Tables):
 
 @query(
     "jn_12_full_outer_counts",
-    """WITH a AS (SELECT user_id, count(*) AS a FROM events WHERE event_type = 'click' AND value > 120 GROUP BY 1),
-b AS (SELECT user_id, count(*) AS b FROM events WHERE event_type = 'error' AND value > 120 GROUP BY 1)
-SELECT user_id, coalesce(a, 0) AS clicks, coalesce(b, 0) AS errors FROM a FULL OUTER JOIN b USING (user_id)""",
+    """WITH a AS (SELECT user_id, ts::DATE AS day, count(*) AS a FROM events WHERE event_type = 'click' GROUP BY 1, 2),
+b AS (SELECT user_id, ts::DATE AS day, count(*) AS b FROM events WHERE event_type = 'error' GROUP BY 1, 2)
+SELECT user_id, day::VARCHAR AS day, coalesce(a, 0) AS clicks, coalesce(b, 0) AS errors FROM a FULL OUTER JOIN b USING (user_id, day)""",
 )
 def full_outer(t: Tables):
     def counted(kind: str, name: str):
-        e = t.events.filter((F.col("event_type") == kind) & (F.col("value") > 120))
-        return e.groupBy("user_id").agg(F.count(F.lit(1)).alias(name))
+        e = t.events.filter(F.col("event_type") == kind)
+        return e.groupBy("user_id", F.to_date("ts").cast("string").alias("day")).agg(F.count(F.lit(1)).alias(name))
 
     return (
         counted("click", "clicks")
-        .join(counted("error", "errors"), "user_id", "full_outer")
-        .select("user_id", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("clicks", "errors")])
+        .join(counted("error", "errors"), ["user_id", "day"], "full_outer")
+        .select("user_id", "day", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("clicks", "errors")])
     )
 
 

@@ -28,14 +28,16 @@ def configure(spark: SparkSession) -> SparkSession:
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for written intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only when that is unset,
-    as in tests on one machine, a folder of our own is taken and remembered in
-    the session.
+    The cluster names it in ``spark.checkpoint.dir``. Where that is unset, a session
+    on one machine takes a folder of its own and remembers it; any other session
+    gets an error, since its executors would not see each other's files.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
     )
     if not root:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="gaugeworks-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")

@@ -5,6 +5,8 @@ from __future__ import annotations
 import datetime as dt
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -151,30 +153,60 @@ def read_validity_csv(spark: SparkSession, path: str, tenant: str, active_from:
 # --- discovery --------------------------------------------------------------
 
 
+def file_name() -> Column:
+    """The plain path of a row's file; the hidden column has it with blanks and % escaped."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
+def _listed(spark: SparkSession, roots: list[str], glob: str) -> DataFrame:
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True)
+    return reader.load(roots).select(file_name().alias("filename"), "length", "modificationTime")
+
+
+def readable_roots(spark: SparkSession, roots: list[str], glob: str) -> tuple[list[str], list[tuple[str, str]]]:
+    """The roots that can be listed, and the others with the reason; asked one by one only if one fails."""
+    try:
+        _listed(spark, roots, glob)
+        return list(roots), []
+    except (AnalysisException, Py4JJavaError):
+        pass
+    good, failed = [], []
+    for root in roots:
+        try:
+            _listed(spark, [root], glob)
+            good.append(root)
+        except AnalysisException as e:
+            failed.append((root, e.getCondition() or str(e)[:200]))
+        except Py4JJavaError as e:
+            failed.append((root, str(e.java_exception)[:200]))
+    return good, failed
+
+
 def discover_files(
     spark: SparkSession, roots: list[str], glob: str, from_ms: int, until_ms: int
 ) -> DataFrame:
     """All files under the roots with size, time, and whether the time is in range.
 
-    Spark lists the folders in parallel; no content is read.
+    Spark lists the folders in parallel; no content is read. A root that is missing
+    or cannot be listed gives a row of its own with ``failed`` and the reason.
     """
-    found = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", True)
-        .load(roots)
-        .select("path", "length", "modificationTime")
-    )
+    good, failed = readable_roots(spark, roots, glob)
+    empty = "filename string, length bigint, modificationTime timestamp"
+    found = _listed(spark, good, glob) if good else spark.createDataFrame([], empty)
+    found = found.withColumn("failMsg", F.lit(None).cast("string"))
+    if failed:
+        rows = spark.createDataFrame(failed, "filename string, failMsg string")
+        found = found.unionByName(rows, allowMissingColumns=True)
     ms = F.unix_millis("modificationTime")
     return found.select(
-        F.col("path").alias("filename"),
+        "filename",
         F.col("length").alias("fileSize"),
         ms.alias("fileCreateEpochMS"),
         F.col("modificationTime").alias("fileCreateTS"),
         F.col("modificationTime").cast("date").alias("fileCreateDate"),
-        ms.between(from_ms, until_ms - 1).alias("withinSpecifiedTimeRange"),
-        F.lit(False).alias("failed"),
-        F.lit(None).cast("string").alias("failMsg"),
+        F.coalesce(ms.between(from_ms, until_ms - 1), F.lit(False)).alias("withinSpecifiedTimeRange"),
+        F.col("failMsg").isNotNull().alias("failed"),
+        "failMsg",
     )
 
 
@@ -215,6 +247,11 @@ def rewrite_prefixes(df: DataFrame, mounts: DataFrame, scheme: str = "file:") ->
 # --- event logs -------------------------------------------------------------
 
 
+def _second(ms: int) -> str:
+    """A time for the reader's options, in whole seconds and UTC."""
+    return dt.datetime.fromtimestamp(max(ms, 0) // 1000, dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%S")
+
+
 def _folder_value(part: Column) -> Column:
     return F.regexp_replace(part, "^[A-Za-z]+=", "")
 
@@ -226,11 +263,14 @@ def read_event_logs(
     tenant: str,
     glob: str = "*",
     schema: T.StructType | None = None,
+    from_ms: int | None = None,
+    until_ms: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Event rows of the new files, and the lines that are no valid JSON.
 
     The files are read from their folders and joined on their names to the
-    discovered ones, so the list never passes through the driver.
+    discovered ones, so the list never passes through the driver. Files changed
+    before ``from_ms`` or after ``until_ms`` are not opened.
     """
     with case_sensitive(spark):
         reader = (
@@ -238,12 +278,17 @@ def read_event_logs(
             .option("columnNameOfCorruptRecord", "_corrupt_record")
             .option("recursiveFileLookup", True)
             .option("pathGlobFilter", glob)
+            .option("timeZone", "UTC")
         )
+        if from_ms is not None:
+            reader = reader.option("modifiedAfter", _second(from_ms - 1000))
+        if until_ms is not None:
+            reader = reader.option("modifiedBefore", _second(until_ms + 1000))
         if schema is None:
             schema = reader.json(roots).schema
         if "_corrupt_record" not in schema.fieldNames():
             schema = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
-        raw = reader.schema(schema).json(roots).withColumn("filename", F.col("_metadata.file_path"))
+        raw = reader.schema(schema).json(roots).withColumn("filename", file_name())
         slim = raw.drop(*[c for c in BULKY_EVENT_FIELDS if c in raw.columns])
         # a line is an event when it is valid JSON and says which; both lists together hold every line
         is_event = F.col("_corrupt_record").isNull() & F.col("Event").isNotNull()
