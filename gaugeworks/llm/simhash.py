@@ -222,10 +222,11 @@ def near_groups(
     threshold: int = THRESHOLD,
     pieces: int = PIECES,
 ) -> DataFrame:
-    """One row per document: doc_id, k1, k2 (hashes of the text), fp, component_id.
+    """One row per document: doc_id, k1, k2 (hashes of the text), fp, root, component_id.
 
     The component is the smallest id reachable over links of at most `threshold`
-    bits, the document itself included. Null and empty texts have no words and the
+    bits, the document itself included. `root` is the component's least fingerprint,
+    which tells components apart even where ids repeat. Null and empty texts have no words and the
     fingerprint zero, and are linked like any other; equal texts have equal
     fingerprints; repeated rows stay. A null id counts for nothing in the minimum:
     a component of null ids only has a null component_id. An empty table gives no
@@ -242,8 +243,8 @@ def near_groups(
     rooted = least.join(roots, F.col("fp") == F.col("node"), "left")
     rooted = rooted.select("fp", "least_id", F.coalesce("root", "fp").alias("root"))
     firsts = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    named = rooted.join(firsts, "root").select("fp", "component_id")
-    return marked.join(named, "fp").select("doc_id", "k1", "k2", "fp", "component_id")
+    named = rooted.join(firsts, "root").select("fp", "root", "component_id")
+    return marked.join(named, "fp").select("doc_id", "k1", "k2", "fp", "root", "component_id")
 
 
 def keep_one_per_group(docs: DataFrame, threshold: int = THRESHOLD, pieces: int = PIECES) -> DataFrame:
@@ -255,8 +256,7 @@ def keep_one_per_group(docs: DataFrame, threshold: int = THRESHOLD, pieces: int
     """
     groups = materialize(near_groups(docs, threshold=threshold, pieces=pieces), "groups")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "k1", "k2")).alias("first")
-    group = F.coalesce("component_id", "fp"), F.col("component_id").isNull()
-    kept = groups.groupBy(group[0].alias("g"), group[1].alias("n")).agg(first).select("first.*")
+    kept = groups.groupBy("root").agg(first).select("first.*")
     kept = kept.select(F.col("doc_id").alias("kept_id"), "k1", "k2")
     k1, k2 = text_key(F.col("text"))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), k1.alias("k1"), k2.alias("k2"))
