@@ -1,7 +1,8 @@
 import duckdb
-from gaugeworks.llm.common import ORACLES, table
+from gaugeworks.llm.common import table
 from gaugeworks.llm.mixing import mix
 from gaugeworks.llm.packing import pack
+from gaugeworks.llm.queries import ORACLES
 from gaugeworks.llm.quality_classifier import score_quality
 from gaugeworks.llm.simhash import near_groups
 

@@ -56,7 +56,7 @@ def test_awkward_vectors(spark):
     good |= {i: [1.0, 2.0, 3.0, 4.0, 5.0, 6.0] for i in range(100, 140)}  # one very common vector
     good |= {200: [2.0, 4.0, 6.0, 8.0, 10.0, 12.0], 201: [1e-20] * 6, 202: [1e18] * 6}
     bad = [(300, None), (301, []), (302, [0.0] * 6), (303, [1.0, None, 1.0, 1.0, 1.0, 1.0]), (304, [float("nan")] * 6),
-           (305, [float("inf"), 1, 1, 1, 1, 1]), (306, [1.0, 2.0]), (None, [1.0] * 6)]
+           (305, [float("inf")] + [1.0] * 5), (306, [1.0, 2.0]), (None, [1.0] * 6)]
     rows = list(good.items()) + bad + [(5, good[5]), (5, good[5])]
     asked = [0, 5, 50, 100, 120, 139, 201, 300, 302, 306, 999]
     compare(frame(spark, rows), asked, brute(good, 5), 5, spark)
