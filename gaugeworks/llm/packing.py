@@ -5,10 +5,12 @@ from __future__ import annotations
 import codecs
 import os
 import re
+import sys
 import zlib
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import chain
+from types import ModuleType
 
 import numpy as np
 import pandas as pd
@@ -19,14 +21,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gaugeworks.llm.common import query, small_batches, table
+from gaugeworks.llm.scan import byte_slices
 from gaugeworks.session import materialize
 
 SEQUENCE = 4096
 END_ID = 2
 # Bytes of text whose words are looked up together.
-SLICE_BYTES = 4 << 20
-# Words whose ids a task remembers; it starts anew beyond that.
-CACHE_WORDS = 300_000
+SLICE_BYTES = 1 << 20
+# Words whose ids a Python worker remembers; it starts anew beyond that.
+CACHE_WORDS = 100_000
 # Rows of one rank block: what a single window task sorts.
 BLOCK_BITS = 16
 # Letters that no normal form changes: one word, nothing to split.
@@ -57,19 +60,19 @@ class WordTokens:
         own = {*range(33, 127), *range(161, 173), *range(174, 256)}
         other = iter(range(256, 512))
         self.byte_letters = "".join(chr(b if b in own else next(other)) for b in range(256))
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}
 
-    def encode(self, word: str) -> list[int]:
-        """Ids of a word; plain ones skip the steps that would not change them."""
+    def encode(self, word: str) -> bytes:
+        """Ids of a word as 32-bit numbers; plain ones skip the steps that would not change them."""
         if _PLAIN(word):
             letters = codecs.charmap_decode(word.lower().encode("utf-8"), "strict", self.byte_letters)[0]
-            return [t.id for t in self.model.tokenize(letters)]
+            return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
         head = word.rstrip(".,;:!?|*#%$&")
         if head and len(head) < len(word) and head[-1].isalpha() and head[-1] < "\u0100":
             return self.of(head) + self.of(word[len(head) :])  # a new piece starts after the last letter
-        return self.tokenizer.encode(word, add_special_tokens=False).ids
+        return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
 
-    def of(self, word: str) -> list[int]:
+    def of(self, word: str) -> bytes:
         ids = self.known.get(word)
         if ids is None:
             ids = self.known[word] = self.encode(word)
@@ -85,8 +88,8 @@ class WordTokens:
         if len(self.known) > self.cache_words:
             self.known = {}
         found = [self.of(w) for w in coded.dictionary.to_pylist()]
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter(chain.from_iterable(found), "<u4", int(sizes.sum()))
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        flat = np.frombuffer(b"".join(found), dtype="<u4")
         at = coded.indices.to_numpy()
         many = sizes[at]
         ends = np.concatenate(([0], np.cumsum(many)))
@@ -97,15 +100,12 @@ class WordTokens:
         return [np.concatenate((ids[a:b], end)) for a, b in zip(bounds, bounds[1:])]
 
 
-def byte_slices(texts: pa.Array, most: int) -> Iterator[tuple[int, int]]:
-    """Row ranges of about `most` bytes of text at a time."""
-    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
-    start = 0
-    while start < len(texts):
-        past = ends[start - 1] if start else 0
-        stop = max(start + 1, int(np.searchsorted(ends, past + most, side="right")))
-        yield start, stop
-        start = stop
+def worker_tokens(path: str, end_id: int) -> WordTokens:
+    """The tokenizer of this Python worker, kept for its next tasks with the words it knows."""
+    kept = sys.modules.setdefault("gaugeworks_worker", ModuleType("gaugeworks_worker"))
+    if getattr(kept, "tokens_of", None) != (path, end_id):
+        kept.tokens, kept.tokens_of = WordTokens(path, end_id), (path, end_id)
+    return kept.tokens
 
 
 _PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
@@ -113,7 +113,7 @@ _PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 def _cut(path: str, end_id: int, sequence: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = WordTokens(path, end_id)
+        tokens = worker_tokens(path, end_id)
         for batch in batches:
             doc_ids, texts = batch.column("doc_id").to_pylist(), batch.column("text")
             for first, last in byte_slices(texts, SLICE_BYTES):
