@@ -545,11 +545,11 @@ def rebuilt(t: Tables):
 EVENT_SCHEMA = "event_id bigint, user_id bigint, event_type string, value double, at_ms bigint"
 
 
-def landed_events(t: Tables, n_files: int = 6) -> str:
+def landed_events(t: Tables, rows_per_file: int = 20_000) -> str:
+    """Events as landed files of bounded size, so their number grows with the rows."""
     path = scratch_path(t.spark, "stream-in")
-    t.events.select("event_id", "user_id", "event_type", "value", ms("ts").alias("at_ms")).repartition(
-        n_files, "event_id"
-    ).write.parquet(path)
+    rows = t.events.select("event_id", "user_id", "event_type", "value", ms("ts").alias("at_ms"))
+    rows.write.option("maxRecordsPerFile", rows_per_file).parquet(path)
     return path
 
 
@@ -586,16 +586,23 @@ def sink(t: Tables):
 
 @query("st_04_recovery", _STREAMED)
 def recovered(t: Tables):
-    """The checkpoint is lost half-way; the stream goes on behind the newest landed time."""
+    """The checkpoint is lost half-way, with late rows and rows of the newest instant unread."""
     stored = scratch_path(t.spark, "st04")
     path = landed_events(t)
     all_events = t.spark.read.schema(EVENT_SCHEMA).parquet(path)
-    cut = all_events.agg(F.percentile("at_ms", 0.5).cast("bigint")).scalar()
-    all_events.filter(F.col("at_ms") <= cut).withColumns({TENANT: F.lit("t1"), "run_id": F.lit("r")}).write.parquet(stored)
-    newest = ingest.resume_point(t.spark.read.parquet(stored), "at_ms")
-    s = ingest.message_stream(t.spark, path, EVENT_SCHEMA, "t1", "r", fmt="parquet").filter(F.col("at_ms") > newest)
+    cut = all_events.agg(F.max("at_ms") - F.lit(10 * 86_400_000)).scalar()
+    at, n = F.col("at_ms"), F.col("event_id")
+    read = ((at < cut) & (n % 7 != 0)) | ((at == cut) & (n % 2 == 0))
+    all_events.filter(read).withColumns({TENANT: F.lit("t1"), "run_id": F.lit("r")}).write.parquet(stored)
+    landed = t.spark.read.parquet(stored)
+    newest = ingest.resume_point(landed, "at_ms")
+    late_ms = newest - all_events.agg(F.min("at_ms")).first()[0]
+    s = ingest.message_stream(
+        t.spark, path, EVENT_SCHEMA, "t1", "r", fmt="parquet", after=newest, event_time="at_ms", late_ms=late_ms
+    )
     ingest.append_stream(s, stored + "-on", scratch_path(t.spark, "st04-check"), f"st04_{stored[-8:]}").awaitTermination()
-    return t.spark.read.parquet(stored).unionByName(t.spark.read.parquet(stored + "-on")).select("event_id", "value", TENANT)
+    again = t.spark.read.parquet(stored + "-on")
+    return landed.unionByName(ingest.resume_rows(again, landed, ["event_id"])).select("event_id", "value", TENANT)
 
 
 @query("st_06_late_upserts", "SELECT user_id, event_type, event_id FROM events")
@@ -604,8 +611,8 @@ def late(t: Tables):
     spec = TableSpec("last06", scratch_path(t.spark, "last06"), ("event_id",), partition_by=("event_type",), mode="merge")
     path = scratch_path(t.spark, "st06-in")
     e = t.events.select("event_id", "user_id", "event_type", "value", ms("ts").alias("at_ms"))
-    e.coalesce(1).write.parquet(path)
-    e.repartition(2, "event_id").write.mode("append").parquet(path)
+    e.write.parquet(path)
+    e.repartition("event_id").write.mode("append").parquet(path)
     s = ingest.message_stream(t.spark, path, EVENT_SCHEMA, "t1", "r", max_files=1, fmt="parquet")
     ingest.upsert_stream(s, spec, scratch_path(t.spark, "st06-check"), [F.col("at_ms")]).awaitTermination()
     return tables.read_table(t.spark, spec).select("user_id", "event_type", "event_id")

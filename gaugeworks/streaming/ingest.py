@@ -18,12 +18,12 @@ from gaugeworks.sources.tables import TENANT, TableSpec, upsert, write_table, ex
 
 def message_stream(
     spark: SparkSession, path: str, schema: T.StructType | str, tenant: str, run_id: str, *,
-    max_files: int | None = None, fmt: str = "json", after: dt.datetime | None = None, event_time: str | None = None,
+    max_files: int | None = None, fmt: str = "json", after: dt.datetime | int | None = None, event_time: str | None = None,
     late_ms: int = 0,
 ) -> DataFrame:
     """Messages landed as files, with body as text, tenant and run id.
 
-    ``after`` goes on from an instant when a checkpoint was lost. Messages of that
+    ``after`` (a time, or epoch milliseconds) goes on from an instant when a checkpoint was lost. Messages of that
     very instant are read again, since some may not have been read before; drop the
     copies by key (see ``resume_rows``). ``late_ms`` reads that much earlier.
     """
@@ -32,7 +32,8 @@ def message_stream(
         reader = reader.option("maxFilesPerTrigger", max_files)
     df = reader.load(path)
     if after is not None and event_time:
-        df = df.filter(F.col(event_time) >= F.lit(after - dt.timedelta(milliseconds=late_ms)))
+        low = after - (late_ms if isinstance(after, int) else dt.timedelta(milliseconds=late_ms))
+        df = df.filter(F.col(event_time) >= F.lit(low))
     if "body" in df.columns:
         df = df.withColumn("deserializedBody", F.col("body").cast("string"))
     return df.withColumns({TENANT: F.lit(tenant), "run_id": F.lit(run_id)})
