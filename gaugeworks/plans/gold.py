@@ -257,8 +257,9 @@ def spark_stream(
 ) -> DataFrame:
     """Started and progressed events of streams with their SQL executions.
 
-    The executions of a batch come in chunks; beyond the first ``chunk`` a
-    batch has further rows, so no list outgrows a task.
+    The executions of a batch come in chunks, so no list outgrows a task: beyond the
+    first ``chunk`` a batch has further rows, told apart by ``execution_chunk``, which
+    belongs to the key of a stored table.
     """
     event = F.col("Event")
     raw = events.filter(event.startswith(STREAM_EVENTS) & ~event.endswith("TerminatedEvent"))
@@ -308,5 +309,6 @@ def spark_stream(
     ).filter(F.col("stream_id").isNotNull())
     keys = [*run, "stream_batch_id"]
     by = F.floor(F.col("execution_id") / 100_000)
-    lists = ordered_list(linked, keys, "execution_id", ["execution_id"], "execution_ids", by, chunk).drop("chunk_no")
-    return S.enforce_schema(df.join(lists, keys, "left"), T.StructType.fromDDL(STREAM_SCHEMA))
+    lists = ordered_list(linked, keys, "execution_id", ["execution_id"], "execution_ids", by, chunk)
+    rows = df.join(lists, keys, "left").withColumn("execution_chunk", F.coalesce("chunk_no", F.lit(0))).drop("chunk_no")
+    return S.enforce_schema(rows, T.StructType.fromDDL(STREAM_SCHEMA))

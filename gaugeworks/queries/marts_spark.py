@@ -266,14 +266,14 @@ def stream_events(t: Tables) -> DataFrame:
 
 @query(
     "g_3016_spark_stream",
-    """WITH p AS (SELECT user_id, event_id // 100 AS b, min(epoch_us(ts)) // 1000 AS s, string_agg(event_id::VARCHAR, ',' ORDER BY event_id) AS ids
+    """WITH p AS (SELECT user_id, event_id // 100 AS b, min(epoch_us(ts)) // 1000 AS s, string_agg(event_id::VARCHAR, ',' ORDER BY event_id) FILTER (event_type = 'purchase') AS ids
   FROM events GROUP BY 1, 2)
 SELECT 't' || user_id % 2 AS organization_id, 's' || user_id AS stream_id, b AS stream_batch_id, s AS at_ms, 'Progressed' AS segment,
   last_value(CASE WHEN b % 2 = 0 THEN 'q' || user_id END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY s, b ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS stream_name,
   '[{"rows":1}]' AS operators, '{"addBatch":5}' AS duration, ids AS execution_ids FROM p""",
 )
 def stream(t: Tables):
-    """All executions of a batch; the silver executions start with the first day here."""
+    """All executions of a batch, for purchases have one; the silver executions start with the first day here."""
     e = spark_events(t)
     runs = spark_silver.sql_executions(e, e, 0)
     s = gold.spark_stream(stream_events(t), runs)
@@ -290,7 +290,7 @@ def stream(t: Tables):
 
 st_05 = query(
     "st_05_streaming_mart",
-    "SELECT CAST(count(DISTINCT (user_id, event_id // 100)) AS BIGINT) AS batches, CAST(count(*) AS BIGINT) AS executions FROM events",
+    "SELECT CAST(count(DISTINCT (user_id, event_id // 100)) AS BIGINT) AS batches, CAST(count(*) FILTER (event_type = 'purchase') AS BIGINT) AS executions, 0 AS doubles FROM events",
 )
 
 
@@ -300,6 +300,7 @@ def stream_totals(t: Tables):
     s = gold.spark_stream(stream_events(t), spark_silver.sql_executions(e, e, 0), chunk=2)
     return s.agg(
         F.count_distinct("stream_id", "stream_batch_id").alias("batches"),
+        (F.count(F.lit(1)) - F.count_distinct("stream_id", "stream_batch_id", "execution_chunk")).alias("doubles"),
         F.sum(F.size("execution_ids")).cast("bigint").alias("executions"),
     )
 
