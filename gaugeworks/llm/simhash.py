@@ -248,13 +248,17 @@ def near_groups(
 
 
 def keep_one_per_group(docs: DataFrame, threshold: int = THRESHOLD, pieces: int = PIECES) -> DataFrame:
-    """The columns of `docs`, for one document of each group of near copies.
+    """The columns of `docs`, for one document of each group of near copies, see `keep_first`."""
+    return keep_first(docs, materialize(near_groups(docs, threshold=threshold, pieces=pieces), "groups"))
+
+
+def keep_first(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    """The columns of `docs`, for one document of each `root` of `groups` (doc_id, k1, k2, root).
 
     The one with the smallest id stays; of several with that id the one of the
     smallest text hash; of rows equal in both a single one. Ids that are null come
     after all others.
     """
-    groups = materialize(near_groups(docs, threshold=threshold, pieces=pieces), "groups")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "k1", "k2")).alias("first")
     kept = groups.groupBy("root").agg(first).select("first.*")
     kept = kept.select(F.col("doc_id").alias("kept_id"), "k1", "k2")
