@@ -19,9 +19,10 @@ from gaugeworks.session import materialize
 
 # Ids of words beyond the most frequent ones, by hash.
 RARE_IDS = 256
-# Passes over the corpus, and the share of all tokens that each masks and learns from.
+# Passes over the corpus, and the share of all tokens that each masks and learns from:
+# together the passes learn from every token.
 ROUNDS = 2
-MASKED_SHARE = 0.15
+MASKED_SHARE = 1 / ROUNDS
 # Parameters of one part that is averaged, and partitions averaged at a time.
 CHUNK = 8_192
 FAN_IN = 256
@@ -98,7 +99,22 @@ def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.nda
         yield first, last, ids, np.cumsum(pc.binary_length(part).to_numpy(zero_copy_only=False)) // 2
 
 
-def _learn(flat: np.ndarray, seed: int, masked_share: float):
+def masked_tokens(ids: np.ndarray, ends: np.ndarray, turn: float, share: float) -> np.ndarray:
+    """Which tokens are masked in a pass: a share of a circle, from `turn` on, by text and position.
+
+    Turns that are a share apart mask disjoint tokens, and all of them once around,
+    however the texts are dealt out.
+    """
+    starts = np.concatenate(([0], ends[:-1])).astype(np.int64)
+    keys = np.array([zlib.crc32(ids[a:b].tobytes()) for a, b in zip(starts, ends)], dtype=np.uint64)
+    h = np.repeat(keys << np.uint64(32), ends - starts) + (np.arange(len(ids)) - np.repeat(starts, ends - starts)).astype(np.uint64)
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    at = (h >> np.uint64(32)).astype(np.int64)
+    return (at - int(turn * 2**32)) % 2**32 < np.ceil(share * 2**32)
+
+
+def _learn(flat: np.ndarray, seed: int, turn: float, masked_share: float):
     """One pass over a partition: its parameters in chunks, times the tokens it learned from."""
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -106,7 +122,7 @@ def _learn(flat: np.ndarray, seed: int, masked_share: float):
         for batch in batches:
             for first, _, ids, ends in _texts(batch):
                 draw = np.random.default_rng([seed, learned, len(ids)])
-                masked = draw.permutation(np.flatnonzero(draw.random(len(ids)) < masked_share))
+                masked = draw.permutation(np.flatnonzero(masked_tokens(ids, ends, turn, masked_share)))
                 near = model.contexts(ids, ends)
                 for start in range(0, len(masked), model.MINIBATCH):
                     some = masked[start : start + model.MINIBATCH]
@@ -144,7 +160,7 @@ def train(ids: DataFrame, counts: np.ndarray, rounds: int = ROUNDS, masked_share
     """
     flat = model.initial(counts)
     for r in range(rounds):
-        out = ids.mapInArrow(_learn(flat, seed + r, masked_share), "chunk long, learned long, total binary")
+        out = ids.mapInArrow(_learn(flat, seed + r, r / rounds, masked_share), "chunk long, learned long, total binary")
         sums = materialize(out.withColumn("part", F.spark_partition_id().cast("long")), "passes")
         for _ in range(2):
             group = [F.floor(F.col("part") / FAN_IN), F.col("chunk")]

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from fixtures import awkward, docs_of, nothing
 from gaugeworks.llm import window_model as model
-from gaugeworks.llm.lm_scoring import encoded, score_documents, vocabulary, word_counts
+from gaugeworks.llm.lm_scoring import MASKED_SHARE, ROUNDS, encoded, masked_tokens, score_documents, vocabulary, word_counts
 from pyspark.sql import functions as F
 
 
@@ -84,3 +84,10 @@ def test_training_prefers_the_order_of_the_corpus(spark):
     got = score_documents(docs_of(spark, ordered + mixed), rounds=3, masked_share=0.9).withColumn("mixed", F.col("doc_id") >= 1000)
     mean = {x.mixed: x.m for x in got.groupBy("mixed").agg(F.avg("mean_log_likelihood").alias("m")).collect()}
     assert mean[False] > mean[True] + 0.3
+
+
+def test_the_passes_learn_from_every_token():
+    ids, ends = np.random.default_rng(2).integers(0, 4096, 5000), np.array([0, 700, 701, 5000])
+    times = sum(masked_tokens(ids, ends, r / ROUNDS, MASKED_SHARE).astype(int) for r in range(ROUNDS))
+    assert (times == 1).all()
+    assert 2300 < masked_tokens(ids, ends, 0, MASKED_SHARE).sum() < 2700
