@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -57,37 +58,60 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
 def vocabulary(counts: DataFrame) -> tuple[dict[str, int], np.ndarray]:
     """Ids of the most frequent words of the whole corpus, and the count of each id.
 
-    The other words share RARE_IDS ids by hash, and their count evenly.
+    The other words share RARE_IDS ids by hash; the count of such an id is that of its words.
     """
     top = counts.orderBy(F.desc("n"), "word").limit(model.VOCABULARY - RARE_IDS).collect()
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
     n = np.zeros(model.VOCABULARY)
     n[: len(top)] = [r.n for r in top]
-    n[-RARE_IDS:] = (total - n.sum()) / RARE_IDS
-    return {r.word: i for i, r in enumerate(top)}, n
+    known = {r.word: i for i, r in enumerate(top)}
+    for r in rare_words(counts, known, n).groupBy("id").agg(F.sum("n").alias("n")).collect():
+        n[model.VOCABULARY - RARE_IDS + r.id] = r.n
+    return known, n
+
+
+def rare_words(counts: DataFrame, known: dict[str, int], n: np.ndarray) -> DataFrame:
+    """(word, n, id) of the words beyond the known ones, which are those that come first by count and word."""
+    marked = counts.withColumn("id", (F.crc32(F.col("word").cast("binary")) % RARE_IDS).cast("int"))
+    if len(known) < model.VOCABULARY - RARE_IDS:
+        return marked.filter(F.lit(False))
+    last, least = next(reversed(known)), int(n[len(known) - 1])
+    return marked.filter((F.col("n") < least) | ((F.col("n") == least) & (F.col("word") > last)))
 
 
 def encoded(docs: DataFrame, known: dict[str, int], id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, ids): the word ids of each whole text as 16-bit numbers, written once."""
+    """(doc_id, ids, row, words, times): the word ids of each whole text as 16-bit numbers,
+    a number of the row, and its rare words with their counts; written once.
+    """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = TaskContext.get().partitionId() << 40
         for batch in batches:
             texts = batch.column("text")
             for first, last in byte_slices(texts):
                 words, lengths = _words(texts.slice(first, last - first))
                 coded = words.dictionary_encode()
+                names, indices = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
                 of = [
                     known[w] if w in known else model.VOCABULARY - RARE_IDS + zlib.crc32(w.encode()) % RARE_IDS
-                    for w in coded.dictionary.to_pylist()
+                    for w in names
                 ]
-                ids = np.array(of, dtype="<u2")[coded.indices.to_numpy()]
+                ids = np.array(of, dtype="<u2")[indices]
                 ends = np.cumsum(lengths)
+                rare = ids >= model.VOCABULARY - RARE_IDS
+                owner = np.repeat(np.arange(len(lengths)), lengths)
+                own, times = np.unique(owner[rare] * max(len(names), 1) + indices[rare], return_counts=True)
+                cuts = np.searchsorted(own // max(len(names), 1), np.arange(len(lengths) + 1)).astype(np.int32)
+                found = coded.dictionary.take(pa.array(own % max(len(names), 1))).cast(pa.string())
+                rows = pa.array(np.arange(row, row + len(lengths)))
+                row += len(lengths)
                 cells = [ids[e - n : e].tobytes() for e, n in zip(ends, lengths)]
                 doc_ids = batch.column("doc_id").slice(first, last - first)
-                yield pa.RecordBatch.from_arrays([doc_ids, pa.array(cells, pa.binary())], ["doc_id", "ids"])
+                lists = [pa.ListArray.from_arrays(cuts, found), pa.ListArray.from_arrays(cuts, pa.array(times.astype(np.int64)))]
+                columns = [doc_ids, pa.array(cells, pa.binary()), rows, *lists]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "row", "words", "times"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return materialize(rows.mapInArrow(encode, "doc_id long, ids binary"), "word-ids")
+    return materialize(rows.mapInArrow(encode, "doc_id long, ids binary, row long, words array<string>, times array<long>"), "word-ids")
 
 
 def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -188,7 +212,8 @@ def score_documents(
 
     The log-likelihood is the sum, over all words of the whole text, of the word's
     log-probability given the two words on either side (with edge marks at the
-    ends). The vocabulary counts every word of the corpus and training passes over
+    ends). That of a rare word is its id's plus the log of the word's share of all words
+    of that id in the corpus. The vocabulary counts every word of the corpus and training passes over
     every document. Null and empty texts have no tokens, the sum 0 and a null mean;
     one word alone is scored from edge marks; repeated rows and null ids give a row
     each; an empty table gives none. Other columns are not read.
@@ -198,7 +223,7 @@ def score_documents(
     counts = materialize(word_counts(docs, text_col), "word-counts")
     known, n = vocabulary(counts)
     ids = encoded(docs, known, id_col, text_col)
-    flat = train(ids, n, rounds, masked_share)
+    flat = train(ids.select("ids"), n, rounds, masked_share)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -208,14 +233,21 @@ def score_documents(
                 starts = np.concatenate(([0], ends[:-1]))
                 lengths = ends - starts
                 total = np.where(lengths > 0, sums[ends] - sums[starts], 0.0)
-                mean = pa.array(total / np.maximum(lengths, 1), mask=lengths == 0)
-                doc_ids = batch.column("doc_id").slice(first, last - first)
-                yield pa.RecordBatch.from_arrays(
-                    [doc_ids, pa.array(lengths), pa.array(total), mean],
-                    ["doc_id", "n_tokens", "log_likelihood", "mean_log_likelihood"],
-                )
-
-    return ids.mapInArrow(score, "doc_id long, n_tokens long, log_likelihood double, mean_log_likelihood double")
+                named = [batch.column(c).slice(first, last - first) for c in ("row", "doc_id")]
+                columns = [*named, pa.array(lengths), pa.array(total)]
+                yield pa.RecordBatch.from_arrays(columns, ["row", "doc_id", "n_tokens", "by_id"])
+
+    scored = ids.select("row", "doc_id", "ids").mapInArrow(score, "row long, doc_id long, n_tokens long, by_id double")
+    rare = rare_words(counts, known, n)
+    of_id = rare.groupBy("id").agg(F.sum("n").alias("all"))
+    shares = rare.join(of_id, "id").select("word", F.log(F.col("n") / F.col("all")).alias("share"))
+    held = ids.select("row", F.explode(F.arrays_zip("words", "times")).alias("w"))
+    held = held.select("row", F.col("w.words").alias("word"), F.col("w.times").alias("times"))
+    within = held.join(shares, "word").groupBy("row").agg(F.sum(F.col("times") * F.col("share")).alias("within"))
+    total = F.col("by_id") + F.coalesce("within", F.lit(0.0))
+    mean = F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens"))
+    out = scored.join(within, "row", "left").withColumn("log_likelihood", total)
+    return out.select("doc_id", "n_tokens", "log_likelihood", mean.alias("mean_log_likelihood"))
 
 
 @query("op4_lm_scoring")

@@ -1,3 +1,5 @@
+import zlib
+
 import numpy as np
 import pytest
 from fixtures import awkward, docs_of, nothing
@@ -91,3 +93,14 @@ def test_the_passes_learn_from_every_token():
     times = sum(masked_tokens(ids, ends, r / ROUNDS, MASKED_SHARE).astype(int) for r in range(ROUNDS))
     assert (times == 1).all()
     assert 2300 < masked_tokens(ids, ends, 0, MASKED_SHARE).sum() < 2700
+
+
+def test_rare_words_of_one_id_keep_their_own_share(spark):
+    common = [f"c{i}" for i in range(3840)]
+    rare = [w for w in (f"r{i}" for i in range(4000)) if zlib.crc32(w.encode()) % 256 == 7][:2]
+    texts = [" ".join(common)] * 9 + [f"c0 {rare[0]} c1", f"c0 {rare[1]} c1", rare[0], f"c0 {rare[1]} {rare[1]} c1 " * 2]
+    got = {r.doc_id: r for r in score_documents(docs_of(spark, list(enumerate(texts)))).collect()}
+    assert len(got) == len(texts) and got[12].n_tokens == 8
+    assert got[10].log_likelihood - got[9].log_likelihood == pytest.approx(np.log(5 / 2), abs=1e-4)
+    known, n = vocabulary(word_counts(docs_of(spark, list(enumerate(texts)))))
+    assert set(known) == set(common) and n[-256 + 7] == 7 and n.sum() == 9 * 3840 + 4 + 4 + 7
