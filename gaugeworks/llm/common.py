@@ -53,3 +53,25 @@ def text_key(text: Column) -> list[Column]:
     """Two independent 64-bit hashes of a text (a null is not an empty text)."""
     shown = F.coalesce(F.concat(F.lit("t"), text), F.lit("n"))
     return [F.xxhash64(shown), F.xxhash64(F.lit("second"), shown)]
+
+
+# Rows of a key that one task may look up together, at least; keys above are spread.
+SPREAD_ROWS = 1000
+MAX_HOT_KEYS = 1000
+
+
+def lookup(rows: DataFrame, unique: DataFrame, keys: list[str], spread_by: Column) -> DataFrame:
+    """Left join to a stored table of distinct `keys` that counts the rows of each in `n`.
+
+    Keys with more rows than both `SPREAD_ROWS` and a `MAX_HOT_KEYS`-th of all counted
+    rows are hot, so there are at most `MAX_HOT_KEYS` of them, and only they are sent to
+    every task: their rows are parted by `spread_by` and their entries repeated as often.
+    """
+    total = unique.agg(F.sum("n")).first()[0] or 0
+    most = max(SPREAD_ROWS, -(-total // MAX_HOT_KEYS))
+    parts = F.ceil(F.col("n") / F.lit(most)).cast("long")
+    hot = unique.filter(F.col("n") > most).select(*keys, parts.alias("__parts"))
+    salt = F.pmod(spread_by, F.coalesce(F.col("__parts"), F.lit(1)))
+    salted = rows.join(F.broadcast(hot), keys, "left").withColumn("__salt", salt).drop("__parts")
+    repeated = unique.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))).drop("n")
+    return salted.join(repeated, [*keys, "__salt"], "left").drop("__salt")

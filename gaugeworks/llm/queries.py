@@ -17,6 +17,7 @@ MODULES = [
     "multi_index",
     "quality_rules",
     "lm_scoring",
+    "warc",
 ]
 
 for _name in MODULES:
