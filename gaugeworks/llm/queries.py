@@ -18,6 +18,7 @@ MODULES = [
     "quality_rules",
     "lm_scoring",
     "warc",
+    "collocations",
 ]
 
 for _name in MODULES:
