@@ -19,6 +19,7 @@ MODULES = [
     "lm_scoring",
     "warc",
     "collocations",
+    "spelling",
 ]
 
 for _name in MODULES:
