@@ -1,10 +1,14 @@
+from collections import Counter
+
 import duckdb
 from gaugeworks.llm.common import table
 from gaugeworks.llm.mixing import mix
 from gaugeworks.llm.packing import pack
 from gaugeworks.llm.queries import ORACLES
 from gaugeworks.llm.quality_classifier import score_quality
-from gaugeworks.llm.simhash import near_groups
+from pyspark.sql import functions as F
+from test_jaccard import groups_of
+from test_line_dedup import key
 
 import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
@@ -25,9 +29,8 @@ def test_stages_act_on_all_that_is_left(spark, tmp_path):
     start, good, lines, single, mixed, packed = seen
     scored = score_quality(start, table(spark, FOLDER, "labels"))
     assert sorted(r.doc_id for r in good.collect()) == sorted(r.i for r in scored.filter("predicted = 1").selectExpr("row.doc_id i").collect())
-    assert lines.count() == good.count()
-    groups = near_groups(lines).select("component_id").distinct().count()
-    assert single.count() == groups
+    texts_are_deduplicated_by_lines(good, lines)
+    one_of_each_group_is_kept(lines, single)
     assert sorted(r.doc_id for r in mixed.collect()) == sorted(r.doc_id for r in mix(single).collect())
     tokens = {r.doc_id: r.doc_tokens for r in pack(single).collect()}
     assert sum(r.length for r in packed.collect()) == sum(tokens[r.doc_id] for r in mixed.collect())
@@ -35,6 +38,42 @@ def test_stages_act_on_all_that_is_left(spark, tmp_path):
     assert sorted(map(str, run.drop("sequence_id", "offset").collect())) == sorted(map(str, packed.drop("sequence_id", "offset").collect()))
 
 
+def texts_are_deduplicated_by_lines(before, after):
+    """Line dedup is that of a plain loop over all texts."""
+    texts = {r.doc_id: (r.text or "").split("\n") for r in before.collect()}
+    n = Counter(k for lines in texts.values() for k in {key(x) for x in lines})
+    want = {i: "\n".join(x for x in lines if not key(x) or n[key(x)] < 10) for i, lines in texts.items()}
+    assert {r.doc_id: r.text or "" for r in after.collect()} == want
+
+
+def one_of_each_group_is_kept(before, after):
+    """Of each group of texts linked by a similarity of 0.8, over all pairs, one is left as it was."""
+    rows = before.collect()
+    left = {r.doc_id: r for r in after.collect()}
+    assert set(left.values()) <= set(rows)
+    groups = groups_of([r.text for r in rows])
+    assert [sum(rows[i].doc_id in left for i in g) for g in groups] == [1] * len(groups)
+    assert len(groups) < len(rows)
+
+
+def test_near_copies_are_found_after_shared_lines_are_gone(spark):
+    """Lines that ten documents share hide near copies; both stages against plain loops."""
+    shared = ["a line that all of them hold", "  And ANOTHER one\t", "\u00c9t\u00e9"]
+    rows = []
+    for i in range(36):
+        words = [f"w{i // 3}x{j}" for j in range(120)]
+        words[7 * (i % 3)] = f"other{i}"
+        own = [" ".join(words[:60]), " ".join(words[60:])]
+        rows.append((i, "\n".join([*own, *shared[: 1 + i % 3]]), "en", "s", 1))
+    rows += [(100, None, "en", "s", 0), (101, "", "en", "s", 0), (102, shared[0], "en", "s", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    lines = corpus_pipeline.dedup_lines(spark, docs, FOLDER).withColumn("n_chars", F.lit(1).cast("long"))
+    texts_are_deduplicated_by_lines(docs, lines)
+    single = corpus_pipeline.dedup_near_copies(spark, lines, FOLDER)
+    one_of_each_group_is_kept(lines, single)
+    assert single.count() == 12 + 1
+
+
 def test_queries_equal_their_sql(spark):
     con = duckdb.connect()
     for t in TABLES:
@@ -47,5 +86,5 @@ def test_queries_equal_their_sql(spark):
 
 def test_all_are_registered():
     names = set(queries())
-    assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11))
+    assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14))
     assert set(ORACLES) <= set(oracle_sql())
