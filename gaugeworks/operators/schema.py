@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeworks.session import scratch_path
 
 STRING_MAP = T.MapType(T.StringType(), T.StringType(), True)
 
@@ -111,18 +110,73 @@ def append_to_struct(
     return df.withColumn(new_name or struct, grown)
 
 
-def json_schema(df: DataFrame, column: str) -> T.StructType | T.DataType:
-    """Schema of the JSON texts of a column, found by one pass over all of them."""
-    kind = find_type(df.schema, column)
-    if kind is None:
-        raise ValueError(f"the frame has no column {column}")
-    if not isinstance(kind, T.StringType):
-        raise ValueError(f"{column} must be JSON text")
-    # line breaks in JSON text are only white space; one text a line can be read back by the JVM
-    texts = df.select(F.regexp_replace(_quoted(column), "[\\r\\n]+", " ").alias("value"))
-    path = scratch_path(df.sparkSession, "json")
-    texts.filter("value is not null and trim(value) <> ''").write.text(path)
-    return df.sparkSession.read.json(path).schema
+CORRUPT = "_corrupt_record"
+
+
+def json_schemas(df: DataFrame, columns: list[str]) -> dict[str, T.StructType]:
+    """Schemas of the JSON texts of several columns, found by one aggregation over all of them.
+
+    Objects and arrays of objects give the fields of all objects, sorted by name. Fields of
+    different kinds are texts, as are those that are always null; numbers with a fraction are
+    doubles; objects without any field are left out. Texts that are neither an object nor an
+    array of objects add the field ``_corrupt_record``. Blank texts and nulls do
+    not count; a column without any other text has no fields.
+    """
+    texts, wanted = [], []
+    for c in columns:
+        kind = find_type(df.schema, c)
+        if kind is None:
+            raise ValueError(f"the frame has no column {c}")
+        if not isinstance(kind, T.StringType):
+            raise ValueError(f"{c} must be JSON text")
+        # every text becomes an array of objects, so both spellings have one schema
+        text = F.btrim(F.col(_quoted(c)), F.lit(" \t\r\n"))
+        listed = F.when(F.startswith(text, F.lit("{")), F.concat(F.lit("["), text, F.lit("]"))).when(
+            F.startswith(text, F.lit("[")), text
+        )
+        texts.append(F.nullif(F.nullif(text, F.lit("")), F.lit("null")))
+        wanted.append(F.try_parse_json(listed))
+    if not columns:
+        return {}
+    found = df.select(*[t.alias(f"t{i}") for i, t in enumerate(texts)], *[v.alias(f"v{i}") for i, v in enumerate(wanted)]).agg(
+        *[F.schema_of_variant_agg(f"v{i}").alias(f"s{i}") for i in range(len(columns))],
+        *[F.count_if(F.col(f"t{i}").isNotNull() & F.col(f"v{i}").isNull()).alias(f"n{i}") for i in range(len(columns))],
+    ).first()
+    out = {}
+    for i, c in enumerate(columns):
+        kind = variant_type(found[f"s{i}"])
+        element = kind.elementType if isinstance(kind, T.ArrayType) else None
+        fields = element.fields if isinstance(element, T.StructType) else []
+        odd = found[f"n{i}"] or not isinstance(kind, T.NullType) and not isinstance(element, (T.StructType, T.NullType))
+        if odd and CORRUPT not in [f.name for f in fields]:
+            fields = sorted([*fields, T.StructField(CORRUPT, T.StringType())], key=lambda f: f.name)
+        out[c] = _json_type(T.StructType(fields)) or T.StructType()
+    return out
+
+
+def variant_type(shown: str) -> T.DataType:
+    """The type that the schema of a variant shows; names in backquotes stay as they are."""
+    ddl = re.sub(r"`(?:[^`]|``)*`|OBJECT<", lambda m: "STRUCT<" if m[0] == "OBJECT<" else m[0], shown)
+    return T.StructType.fromDDL(f"c {ddl}")["c"].dataType
+
+
+def _json_type(kind: T.DataType) -> T.DataType | None:
+    """The type that JSON texts are read with; None for objects without fields."""
+    if isinstance(kind, T.StructType):
+        inner = [(f.name, _json_type(f.dataType)) for f in kind.fields]
+        fields = [T.StructField(n, k) for n, k in inner if k is not None]
+        return T.StructType(fields) if fields else None
+    if isinstance(kind, T.ArrayType):
+        element = _json_type(kind.elementType)
+        return None if element is None else T.ArrayType(element)
+    if isinstance(kind, T.DecimalType):
+        return kind if kind.scale == 0 and kind.precision > 18 else T.DoubleType()
+    return T.StringType() if isinstance(kind, (T.VariantType, T.NullType)) else kind
+
+
+def json_schema(df: DataFrame, column: str) -> T.StructType:
+    """Schema of the JSON texts of one column (see `json_schemas`)."""
+    return json_schemas(df, [column])[column]
 
 
 def struct_from_json(

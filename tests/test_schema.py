@@ -110,6 +110,38 @@ def test_struct_from_json(spark):
     assert [r["a"] for r in got] == [1, 2]
 
 
+def test_json_schemas_are_those_of_the_reader(spark, tmp_path):
+    texts = {
+        "plain": ['{"a":1,"b":{"c":[1,2]}}', '{"b":{"c":[],"d":null}}', None, "  ", '\n{"z":true}\n'],
+        "mixed": ['{"a b":1,"x:y":2,"q`":1.5,"o":{"OBJECT<":null,"e":{}},"arr":[],"n":12345678901234567890}',
+                  '{"a b":"s","x:y":2.5,"l":[{"z":true},{"w":1}],"e":1e3}'],
+        "arrays": ['[{"k":1},{"k":2.5}]', '{"j":[[1],["s"]]}', "[]", "null", '[{"m":[{}]}]'],
+        "bad": ['{"a":1}', '{"a":', "5"],
+        "only bad": ["{x", '"text"'],
+        "conflict": ['{"a":{"b":1}}', '{"a":5}', '{"a":[1]}'],
+        "empty": ["{}", "[]"],
+        "wide": ['{"a":9223372036854775807,"b":false}', '{"a":1.25,"b":"x"}'],
+    }
+    longest = max(map(len, texts.values()))
+    rows = list(zip(*[v + [None] * (longest - len(v)) for v in texts.values()]))
+    df = spark.createDataFrame(rows, ", ".join(f"`{c}` string" for c in texts))
+    found = S.json_schemas(df, list(texts))
+    for c, values in texts.items():
+        one_line = [(v.replace("\n", " "),) for v in values if v is not None and v.strip()]
+        spark.createDataFrame(one_line, "t string").coalesce(1).write.text(f"{tmp_path}/{c}")
+        assert found[c] == spark.read.json(f"{tmp_path}/{c}").schema, c
+    assert S.json_schemas(df, []) == {}
+
+
+def test_one_job_finds_all_schemas(spark):
+    df = spark.createDataFrame([('{"a":1}', '[{"b":2}]')] * 5, "x string, y string")
+    spark.sparkContext.setJobGroup("schemas", "")
+    S.json_schemas(df, ["x", "y"])
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("schemas")
+    spark.sparkContext.setJobGroup("other", "")
+    assert len(jobs) <= 2  # the aggregation; adaptive execution runs its shuffle stage as a job
+
+
 def test_struct_to_map(spark):
     df = spark.sql("select named_struct('a', 1, 'b', cast(null as string)) as s, null as v, 5 as n")
     assert df.select(S.struct_to_map(df.schema, "s")).first()["s"] == {"a": "1"}
