@@ -402,14 +402,6 @@ def c_name() -> Column:
     return F.col("c_name")
 
 
-JOB_TYPES: dict[str, str] = {
-    "tasks": "array<struct<task_key:string,job_cluster_key:string,notebook_task:struct<base_parameters:struct<x:string>>>>",
-    "job_clusters": "array<struct<job_cluster_key:string,new_cluster:struct<num_workers:bigint,spark_conf:struct<y:string>>>>",
-    "libraries": "array<struct<jar:string>>",
-    "new_cluster": "struct<num_workers:bigint>",
-    **{kind: "struct<parameters:array<string>>" for kind in jobs.TASK_KINDS},
-}
-
 _STATUS = f"""WITH e AS (SELECT *, 't' || user_id % 2 AS org, epoch_us(ts) // 1000 AS t, 'r' || event_id AS rid, {_K} AS k, 'u' || event_id % 11 AS who,
   CASE event_type WHEN 'signup' THEN 'create' WHEN 'click' THEN 'reset' WHEN 'error' THEN 'delete' ELSE 'update' END AS action,
   c_custkey IS NOT NULL AS snap, c_name, c_mktsegment FROM events LEFT JOIN customer ON c_custkey = user_id),
@@ -428,8 +420,9 @@ SELECT * FROM o UNION ALL SELECT 't' || c_custkey % 2, c_custkey, 1000, 'snapImp
 FROM customer WHERE NOT EXISTS (SELECT 1 FROM events WHERE user_id = c_custkey)"""
 
 
-def status(t: Tables, types=JOB_TYPES) -> DataFrame:
-    return materialize(jobs.job_status(job_audit(t), job_snapshot(t), True, 1000, types), "status")
+def status(t: Tables) -> DataFrame:
+    """The types of all JSON columns are found in the data."""
+    return materialize(jobs.job_status(job_audit(t), job_snapshot(t), True, 1000), "status")
 
 
 @query("s_2010_job_status", _STATUS)
@@ -447,20 +440,22 @@ def gold_job(t: Tables):
 
 
 def run_audit(t: Tables) -> DataFrame:
-    """Five records a run: launch, start, end, cancellation, repair; each event opens a run.
+    """Records of a run: launch, start, end, cancellation, repair; each event opens a run.
 
-    One in seven is never started, one in eleven still runs, one in thirteen is cancelled.
+    One in seven is never started, one in eleven still runs and one fails, one in thirteen is
+    cancelled, one in seventeen repaired (every other one under another number); one in
+    nineteen has two tasks with run numbers of their own, the second without an end.
     """
     eid = F.col("event_id")
     base = t.events.select(
         "*", ms("ts").alias("s"), (ms("ts") + 1000 + F.floor(F.col("value") * 1000)).alias("e"), samples.number().alias("k")
     )
+    names = [
+        "runId", "jobId", "job_id", "run_id", "taskKey", "clusterId", "jobClusterType", "jobTaskType",
+        "jobTriggerType", "jobTerminalState", "multitaskParentRunId", "repairId", "tasks", "run_name", "rerun_tasks",
+    ]
 
     def rec(action: str, at: Column, keep: Column, result: Column | None = None, **params: Column) -> Column:
-        names = [
-            "runId", "jobId", "job_id", "run_id", "taskKey", "clusterId", "jobClusterType", "jobTaskType",
-            "jobTriggerType", "jobTerminalState", "multitaskParentRunId", "repairId", "tasks", "run_name",
-        ]
         return F.when(
             keep,
             F.struct(
@@ -471,20 +466,32 @@ def run_audit(t: Tables) -> DataFrame:
             ),
         )
 
-    run = eid + 100_000
+    run, started, two, repaired = eid + 100_000, eid % 7 != 0, eid % 19 == 0, eid % 17 == 0
     tasks = F.to_json(F.array(F.struct(F.lit("t1").alias("task_key"), F.lit("jc").alias("job_cluster_key"))))
-    started = eid % 7 != 0
     one, made = {"runId": run, "jobId": F.col("user_id")}, F.to_json(F.struct(run.alias("run_id")))
     kinds = {"jobClusterType": F.lit("existing"), "jobTaskType": F.lit("notebook"), "jobTriggerType": F.lit("periodic")}
+    begun = {
+        **kinds, "jobId": F.col("user_id"), "clusterId": text("c", F.col("user_id")),
+        "repairId": F.when(repaired, eid + 500_000),
+    }
+    repair_made = F.to_json(F.struct((eid + 500_000 + F.when(eid % 34 == 0, 1).otherwise(0)).alias("repair_id")))
+    first_task = F.when(two, run + 1_000_000).otherwise(run)
+    ended = {"runId": first_task, "jobId": F.col("user_id"), "multitaskParentRunId": F.when(two, run), **kinds}
     records = F.array(
         rec("runNow", F.col("s"), F.col("event_type") == "click", made, job_id=F.col("user_id")),
         rec("runTriggered", F.col("s"), F.col("event_type").isin("view", "error"), None, **one, jobTriggerType=F.lit("cron")),
         rec("submitRun", F.col("s"), F.col("event_type").isin("purchase", "signup"), made, tasks=tasks, run_name=text("sub", eid)),
-        rec("runStart", F.col("s") + 500, started, None, **one, **kinds, clusterId=text("c", F.col("user_id")),
+        rec("runStart", F.col("s") + 500, started & ~two, None, **begun, runId=run,
             taskKey=F.when(F.col("event_type") == "purchase", "t1")),
-        rec("runSucceeded", F.col("e"), started & (eid % 11 != 0), None, **one, jobTerminalState=F.lit("Succeeded")),
+        rec("runStart", F.col("s") + 500, started & two, None, **begun, runId=run + 1_000_000, multitaskParentRunId=run, taskKey=F.lit("a")),
+        rec("runStart", F.col("s") + 500, started & two, None, **begun, runId=run + 2_000_000, multitaskParentRunId=run, taskKey=F.lit("b")),
+        # a later record of the same start does not count
+        rec("runStart", F.col("s") + 501, started & ~two, None, **{**begun, "clusterId": F.lit("late")}, runId=run, taskKey=F.lit("late")),
+        rec("runSucceeded", F.col("e"), started & (eid % 11 > 1), None, **ended, jobTerminalState=F.lit("Succeeded")),
+        rec("runFailed", F.col("e"), started & (eid % 11 == 1), None, **ended, jobTerminalState=F.lit("Failed")),
         rec("cancel", F.col("e") + 7, eid % 13 == 0, None, run_id=run),
-    )
+        rec("repairRun", F.col("e") + 20, repaired, repair_made, run_id=run, rerun_tasks=F.lit('["t1"]')),
+    )
     rows = base.select("*", F.explode(F.filter(records, lambda r: r.isNotNull())).alias("v"))
     return rows.select(
         F.col("v.timestamp").alias("timestamp"),
@@ -501,33 +508,49 @@ def run_audit(t: Tables) -> DataFrame:
     )
 
 
-_RUNS = f"""WITH e AS (SELECT *, 't' || user_id % 2 AS org, epoch_us(ts) // 1000 AS s, epoch_us(ts) // 1000 + 1000 + CAST(floor(value * 1000) AS BIGINT) AS e FROM events),
-r AS (SELECT *, event_id % 7 <> 0 AS started, CASE WHEN event_id % 7 <> 0 AND event_id % 11 <> 0 THEN e END AS done, CASE WHEN event_id % 13 = 0 THEN e + 7 END AS cancelled FROM e),
-sp AS (SELECT 'c' || c_custkey AS cid, c_name FROM customer)
-SELECT org AS organization_id, event_id + 100000 AS run_id, CASE WHEN started OR event_type IN ('click', 'view', 'error') THEN user_id END AS job_id,
-  CASE WHEN started THEN s + 500 END AS start_ms, CASE WHEN cancelled IS NOT NULL THEN cancelled ELSE done END AS end_ms,
-  CASE WHEN cancelled IS NOT NULL THEN 'Cancelled' WHEN done IS NOT NULL THEN 'Succeeded' END AS terminal_state,
+_RUNS = f"""WITH e AS (SELECT *, 't' || user_id % 2 AS org, epoch_us(ts) // 1000 AS s, epoch_us(ts) // 1000 + 1000 + CAST(floor(value * 1000) AS BIGINT) AS e,
+  event_id % 7 <> 0 AS started, event_type IN ('purchase', 'signup') AS sub FROM events),
+r AS (SELECT *, event_id + 100000 + n * 1000000 AS run_id, CASE WHEN started AND n < 2 AND event_id % 11 <> 0 THEN e END AS done,
+  CASE WHEN event_id % 13 = 0 AND n = 0 THEN e + 7 END AS cancelled, CASE WHEN started AND event_id % 17 = 0 THEN event_id + 500000 END AS repair_id,
+  CASE WHEN NOT started THEN NULL WHEN n = 1 THEN 'a' WHEN n = 2 THEN 'b' WHEN event_type = 'purchase' THEN 't1' END AS task0
+  FROM e, (VALUES (0), (1), (2)) x(n) WHERE (n = 0) = (NOT (started AND event_id % 19 = 0))),
+m AS (SELECT organization_id AS org, job_id, at_ms AS t, 1 AS kind, NULL AS rid, job_name, max_retries, task_key, team FROM ({_STATUS}) WHERE job_id % 5 <> 0
+  UNION ALL SELECT org, user_id, s + 500, 0, run_id, NULL, NULL, NULL, NULL FROM r WHERE started),
+l AS (SELECT rid, kind, last_value(job_name IGNORE NULLS) OVER w AS job_name, last_value(max_retries IGNORE NULLS) OVER w AS max_retries,
+  last_value(task_key IGNORE NULLS) OVER w AS task_key, last_value(team IGNORE NULLS) OVER w AS team FROM m
+  WINDOW w AS (PARTITION BY org, job_id ORDER BY t, kind ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+sp AS (SELECT c_custkey, c_name, CASE WHEN c_custkey % 4 = 0 THEN 'job-' || c_custkey || '-run-1' ELSE c_name END AS spec_name,
+  CASE WHEN c_custkey % 7 <> 0 THEN {JAN_1} + (c_custkey % 40) * {DAY // 2} END AS spec_t FROM customer),
+j AS (SELECT r.*, c_name, l.max_retries, l.team, coalesce(l.job_name, CASE WHEN started AND s + 500 > {JAN_1 + 14 * DAY} THEN c_name END) AS named,
+  CASE WHEN started AND s + 500 > spec_t THEN spec_name WHEN started AND s + 500 > {JAN_1 + 5 * DAY} THEN c_name END AS cluster0,
+  CASE WHEN sub THEN 'sub' || event_id END AS run_name0, coalesce(task0, l.task_key, CASE WHEN sub THEN 't1' END) AS task_key, l.task_key IS NULL AND sub AS own_tasks
+  FROM r LEFT JOIN sp ON c_custkey = user_id LEFT JOIN (SELECT * FROM l WHERE kind = 0) l ON l.rid = r.run_id)
+SELECT org AS organization_id, run_id, event_id + 100000 AS job_run_id, CASE WHEN started OR NOT sub THEN user_id END AS job_id,
+  CASE WHEN started THEN s + 500 END AS start_ms, coalesce(cancelled, done) AS end_ms,
+  CASE WHEN cancelled IS NOT NULL THEN 'Cancelled' WHEN done IS NOT NULL THEN CASE WHEN event_id % 11 = 1 THEN 'Failed' ELSE 'Succeeded' END END AS terminal_state,
   CASE WHEN event_type IN ('view', 'error') THEN 'cron' WHEN started THEN 'periodic' WHEN event_type = 'click' THEN 'manual' END AS trigger,
   CASE WHEN started THEN 'c' || user_id END AS cluster_id,
-  CASE WHEN started AND s + 500 > {JAN_1 + 5 * DAY} AND c_name IS NOT NULL THEN c_name WHEN event_type IN ('purchase', 'signup') THEN 'jc' END AS cluster_name,
-  CASE WHEN event_type IN ('purchase', 'signup') THEN 'sub' || event_id END AS run_name,
-  CASE WHEN event_type IN ('purchase', 'signup') THEN 't1' END AS task_key
-FROM r LEFT JOIN sp ON cid = 'c' || user_id"""
-
-RUN_TYPES = {**JOB_TYPES, "tags": "map<string,string>"}
+  coalesce(cluster0, CASE WHEN own_tasks AND task_key = 't1' THEN 'jc' END, task_key) AS cluster_name,
+  coalesce(run_name0, task_key) AS run_name, task_key, coalesce(named, run_name0) AS job_name, max_retries, team, repair_id,
+  CASE WHEN repair_id IS NOT NULL AND n = 0 AND event_id % 34 <> 0 THEN e + 20 END AS repaired_ms FROM j"""
 
 
 def runs(t: Tables) -> DataFrame:
-    return materialize(jobs.job_runs(run_audit(t), cluster_snapshot=samples.cluster_snapshot(t), types=RUN_TYPES), "runs")
+    """Runs with all four lookups: settings of all jobs but one in five, so that the snapshot has to give their names."""
+    known = status(t).filter(F.col("jobId") % 5 != 0)
+    df = jobs.job_runs(run_audit(t), samples.cluster_spec(t), samples.cluster_snapshot(t), known, job_snapshot(t))
+    return materialize(df, "runs")
 
 
 @query("s_2011_job_runs", _RUNS)
 def job_runs(t: Tables):
     return runs(t).select(
-        TENANT, F.col("runId").alias("run_id"), F.col("jobId").alias("job_id"),
+        TENANT, F.col("runId").alias("run_id"), F.col("jobRunId").alias("job_run_id"), F.col("jobId").alias("job_id"),
         F.col("TaskRunTime.startEpochMS").alias("start_ms"), F.col("TaskRunTime.endEpochMS").alias("end_ms"),
         F.col("terminalState").alias("terminal_state"), F.col("jobTriggerType").alias("trigger"),
         F.col("clusterId").alias("cluster_id"), "cluster_name", "run_name", F.col("taskKey").alias("task_key"),
+        F.col("jobName").alias("job_name"), "max_retries", F.try_element_at("tags", F.lit("team")).alias("team"),
+        F.col("repairId").alias("repair_id"), F.col("repair_details")[0]["repair_timestamp"].alias("repaired_ms"),
     )
 
 
