@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -204,3 +207,103 @@ def asof_join(
     right_cols = [right_prefix + c for c in [*right.observations, right.ts]]
     filled = _fill_right(merged, left, right_cols, look_back, look_ahead, slice_width, None)
     return filled.select(left.ts, *left.keys, *left.observations, *right_cols)
+
+
+@dataclass(frozen=True)
+class Lookup:
+    """One right side of `asof_lookups`: its series, the time of the left rows, and how far to look.
+
+    ``at`` names another time column of the left rows than that of their series. Looks
+    back are unbounded or none, looks ahead none, one row or unbounded; rows are those of the
+    left side and this right side, as if the others were not there.
+    """
+
+    right: TimeSeries
+    at: str | None = None
+    look_back: int = UNBOUNDED
+    look_ahead: int = 0
+    tie_break: tuple[str, ...] = ()
+
+
+def asof_lookups(
+    left: TimeSeries,
+    lookups: list[Lookup],
+    *,
+    slice_width: int | None = None,
+    left_order: list[str] | None = None,
+    store: Callable[[DataFrame], DataFrame] | None = None,
+) -> dict[str, DataFrame]:
+    """Several as-of lookups in one ordered scan of the merged stream of all sides.
+
+    Gives, by time column of the left rows, what chained calls of `asof_lookup`
+    give: of columns that several sides have, the left value counts first, then
+    that of the earlier lookup. All frames come from the same scan, which ``store``
+    writes once; it is of use where the left rows have several times. All sides are read
+    twice and must have the same number of keys.
+    """
+    for u in lookups:
+        if u.look_back not in (UNBOUNDED, 0) or u.look_ahead not in (UNBOUNDED, 0, 1):
+            raise ValueError("lookups with limits go one by one, with asof_lookup")
+        if len(u.right.keys) != len(left.keys):
+            raise ValueError("all series need the same number of keys")
+    scan = _scan_of_lookups(left, lookups, slice_width, left_order or [])
+    scan = scan.filter(F.col(_SIDE) == 0) if store is None else store(scan.filter(F.col(_SIDE) == 0))
+    return {at: _looked_up(scan, left, lookups, at) for at in _times(left, lookups)}
+
+
+_TIME, _EVENT = "__time", "__event"
+
+
+def _times(left: TimeSeries, lookups: list[Lookup]) -> list[str]:
+    return list(dict.fromkeys(u.at or left.ts for u in lookups))
+
+
+def _scan_of_lookups(left: TimeSeries, lookups: list[Lookup], slice_width: int | None, left_order: list[str]) -> DataFrame:
+    """Left rows once for each of their times, right rows of all sides, and their running values."""
+    times = _times(left, lookups)
+    events = [F.struct(F.lit(e).alias("e"), F.col(at).alias("at")) for e, at in enumerate(times)]
+    merged = left.df.withColumn(_EVENT, F.explode(F.array(*events)))
+    merged = merged.select(*left.df.columns, F.col(f"{_EVENT}.e").alias(_EVENT), F.col(f"{_EVENT}.at").alias(_TIME), F.lit(0).alias(_SIDE))
+    kind = merged.schema[_TIME].dataType
+    running: list[Running] = []
+    for i, u in enumerate(lookups):
+        right, cols = u.right, u.right.observations
+        seq = F.xxhash64(*u.tie_break) if u.tie_break else row_hash(right.df)
+        rows = right.df.select(
+            F.col(right.ts).cast(kind).alias(_TIME),
+            *[F.col(rk).cast(left.df.schema[lk].dataType).alias(lk) for lk, rk in zip(left.keys, right.keys)],
+            *[F.col(c).alias(f"__r{i}_{c}") for c in cols],
+            F.lit(i + 1).alias(_SIDE),
+            seq.alias(_SEQ),
+        )
+        merged = merged.unionByName(rows, allowMissingColumns=True)
+        if u.look_back == UNBOUNDED:
+            running += [Running(f"__b{i}_{c}", "last", F.col(f"__r{i}_{c}")) for c in cols]
+        if u.look_ahead == UNBOUNDED:
+            running += [Running(f"__a{i}_{c}", "first", F.col(f"__r{i}_{c}")) for c in cols]
+        elif u.look_ahead == 1:
+            # the next row of both sides counts as a whole, also if it is a left one
+            event = times.index(u.at or left.ts)
+            own = (F.col(_SIDE) == i + 1) | ((F.col(_SIDE) == 0) & (F.col(_EVENT) == event))
+            running.append(Running(f"__n{i}", "first", F.when(own, F.struct(*[f"__r{i}_{c}" for c in cols])), True))
+    order = [_TIME, _SIDE, *left_order, _SEQ]
+    scanned = ordered_scan(merged, left.keys, order, running, time_slice(merged, _TIME, slice_width))
+    return scanned.drop(*[f"__r{i}_{c}" for i, u in enumerate(lookups) for c in u.right.observations])
+
+
+def _looked_up(scan: DataFrame, left: TimeSeries, lookups: list[Lookup], at: str) -> DataFrame:
+    found: dict[str, list[Column]] = {}
+    for i, u in enumerate(lookups):
+        if (u.at or left.ts) != at:
+            continue
+        for c in u.right.observations:
+            sources = found.setdefault(c, [F.col(c)] if c in left.df.columns else [])
+            if u.look_back == UNBOUNDED:
+                sources.append(F.col(f"__b{i}_{c}"))
+            if u.look_ahead == UNBOUNDED:
+                sources.append(F.col(f"__a{i}_{c}"))
+            elif u.look_ahead == 1:
+                sources.append(F.col(f"__n{i}")[f"__r{i}_{c}"])
+    rows = scan.filter(F.col(_EVENT) == _times(left, lookups).index(at))
+    plain = [F.col(c) for c in left.df.columns if c not in found]
+    return rows.select(*plain, *[F.coalesce(*v, F.lit(None)).alias(c) for c, v in found.items()])

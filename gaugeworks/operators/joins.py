@@ -85,30 +85,63 @@ def range_join(
     """Rows of a dimension valid at the time of the fact, both ends included.
 
     Text keys match trimmed and in lower case. All times are numbers. With
-    ``bucket`` every validity range is listed once per time bucket it covers
-    and the join is on key and bucket, so a key with many versions and many
-    facts does not compare each with each. Spark picks the join; it broadcasts
-    the dimension only when its measured size is under the threshold.
+    ``bucket`` a range is listed under the few power-of-two cells of such buckets that
+    make it up (`dyadic_cells`: a hundred years of days are at most thirty), and a time
+    looks in one cell of each width that occurs, so a key with many versions and many facts
+    does not compare each with each. Times of facts look once, however many facts have them.
+    Spark picks the joins; it broadcasts the dimension only when its measured size is
+    under the threshold.
     """
+    if how not in ("left", "inner"):
+        raise ValueError("only left and inner joins look up ranges")
     start, end = F.col(valid_from), F.coalesce(F.col(valid_until), open_until)
 
     def norm(c: Column) -> Column:
         return F.trim(F.lower(c)) if text_keys else c
 
-    d = dim.withColumns(
-        {"__from": start, "__until": end, **{f"__dk{i}": norm(F.col(dk)) for i, (_, dk) in enumerate(on)}}
-    )
-    conditions = [norm(F.col(fk)) == F.col(f"__dk{i}") for i, (fk, _) in enumerate(on)]
-    if bucket:
-        d = d.filter(F.col("__until") >= F.col("__from")).withColumn(
-            "__bucket",
-            F.explode(F.sequence(F.floor(F.col("__from") / bucket), F.floor(F.col("__until") / bucket))),
+    keys = [f"__k{i}" for i in range(len(on))]
+    d = dim.withColumns({"__from": start, "__until": end, **{k: norm(F.col(c)) for k, (_, c) in zip(keys, on)}})
+    f = fact.withColumns({"__at": F.col(at), **{k: norm(F.col(c)) for k, (c, _) in zip(keys, on)}})
+    valid = F.col("__at").between(F.col("__from"), F.col("__until"))
+    if not bucket:
+        d = d.withColumnsRenamed({k: f"__d{k}" for k in keys})
+        out = f.join(d, _all([F.col(k) == F.col(f"__d{k}") for k in keys] + [valid]), how)
+        return out.drop("__at", "__from", "__until", *keys, *[f"__d{k}" for k in keys])
+    first, last = F.floor(F.col("__from") / bucket), F.floor(F.col("__until") / bucket)
+    d = d.filter(F.col("__until") >= F.col("__from")).withColumn("__c", F.explode(dyadic_cells(first, last)))
+    d = d.select("*", F.col("__c.width").alias("__width"), F.col("__c.cell").alias("__cell")).drop("__c")
+    widths = d.agg(F.sort_array(F.collect_set("__width"))).scalar()
+    points = f if how == "inner" else f.select(*keys, "__at").distinct()
+    probes = points.filter(F.col("__at").isNotNull()).withColumn("__width", F.explode(widths))
+    probes = probes.withColumn("__cell", F.expr(f"shiftright(floor(__at / {bucket}), __width)"))
+    hits = probes.join(d, [*keys, "__width", "__cell"]).filter(valid).drop("__width", "__cell", "__from", "__until")
+    if how != "inner":
+        hits = f.join(hits, [*keys, "__at"], how)
+    return hits.drop("__at", *keys)
+
+
+def dyadic_cells(first: Column, last: Column) -> Column:
+    """The cells of growing power-of-two widths that make up the buckets first to last.
+
+    An array of (width, cell): cell number c of width w holds the buckets c * 2**w to
+    (c + 1) * 2**w - 1. At most two cells of each width, none of them overlapping.
+    """
+    low_end, high_end = first.cast("bigint"), last.cast("bigint") + 1
+
+    def of_width(w: Column) -> Column:
+        # what is left over at this width; an odd low end and an odd high end are cells
+        low = -F.call_function("shiftright", -low_end, w)
+        high = F.call_function("shiftright", high_end, w)
+        odd = low.bitwiseAND(1)
+        return F.array(
+            F.when((odd == 1) & (low < high), F.struct(w.alias("width"), low.alias("cell"))),
+            F.when(
+                (high.bitwiseAND(1) == 1) & (low + odd < high), F.struct(w.alias("width"), (high - 1).alias("cell"))
+            ),
         )
-        conditions.append(F.floor(F.col(at) / bucket) == F.col("__bucket"))
-    conditions.append(F.col(at).between(F.col("__from"), F.col("__until")))
-    return fact.join(d, _all(conditions), how).drop(
-        "__from", "__until", "__bucket", *[f"__dk{i}" for i in range(len(on))]
-    )
+
+    widest = F.floor(F.log2(F.greatest(high_end - low_end, F.lit(1)))).cast("int")
+    return F.array_compact(F.flatten(F.transform(F.sequence(F.lit(0), widest), of_width)))
 
 
 def contained_join(

@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from gaugeworks.operators import joins
-from gaugeworks.operators.asof import UNBOUNDED, TimeSeries, asof_join, asof_lookup
+from gaugeworks.operators.asof import UNBOUNDED, Lookup, TimeSeries, asof_join, asof_lookup, asof_lookups
+from gaugeworks.session import materialize
 
 # key 1: before all right rows, a tie (not seen), between two, after the last; key 2: one right row; key 3: none
 LEFT = [(10, 1), (20, 1), (33, 1), (90, 1), (44, 2), (50, 3)]
@@ -128,6 +129,89 @@ def test_range_join_both_ends_count(spark, bucket):
     assert out.filter("v is null").count() == 2
 
 
+@pytest.mark.parametrize("how", ["left", "inner"])
+@pytest.mark.parametrize("bucket", [1, 10, 1 << 20])
+def test_range_join_equals_brute_force(spark, how, bucket):
+    rnd = random.Random(bucket)
+    dims = [(rnd.choice("ab "), a, a + rnd.choice([-5, 0, 1, 7, 300, 5000]), i) for i, a in enumerate(rnd.randrange(-3000, 3000) for _ in range(60))]
+    dims += [("a", None, 5, 90), ("b", 17, None, 91), (None, 0, 10, 92)]
+    facts = [(rnd.choice(["A", " b", "c", None]), rnd.choice([None, rnd.randrange(-3200, 3200)]), i) for i in range(200)]
+    facts += facts[:20]
+    want = []
+    for k, at, i in facts:
+        key = None if k is None else k.strip().lower()
+        found = [
+            v for dk, lo, up, v in dims
+            if key is not None and dk is not None and dk.strip() == key and at is not None and lo is not None and lo <= at <= (4000 if up is None else up)
+        ]
+        want += [(i, v) for v in found] or ([(i, None)] if how == "left" else [])
+    fact = spark.createDataFrame(facts, "k string, at long, i long")
+    dim = spark.createDataFrame(dims, "dk string, f long, u long, v long")
+    out = joins.range_join(fact, dim, [("k", "dk")], "at", "f", "u", F.lit(4000), how=how, bucket=bucket)
+    assert set(out.columns) == {"k", "at", "i", "dk", "f", "u", "v"}
+    assert sorted(map(str, ((r.i, r.v) for r in out.collect()))) == sorted(map(str, want))
+
+
+def test_dyadic_cells_make_up_the_range(spark):
+    rnd = random.Random(4)
+    ranges = [(a, a + n) for a in (-1000, -9, -1, 0, 1, 7, 8, 12345) for n in (0, 1, 2, 7, 8, 100)]
+    ranges += [(a, a + rnd.randrange(3000)) for a in (rnd.randrange(-5000, 5000) for _ in range(40))]
+    df = spark.createDataFrame(ranges, "a long, b long").withColumn("cells", joins.dyadic_cells(F.col("a"), F.col("b")))
+    for r in df.collect():
+        held = [x for c in r.cells for x in range(c.cell << c.width, (c.cell + 1) << c.width)]
+        assert sorted(held) == list(range(r.a, r.b + 1))
+        assert max(sum(c.width == w for c in r.cells) for w in range(20)) <= 2
+    century = spark.sql("select 0L as a, 36524L as b").select(F.size(joins.dyadic_cells(F.col("a"), F.col("b"))).alias("n"))
+    assert century.first().n < 30
+
+
+def test_many_lookups_equal_the_chain(spark):
+    rnd = random.Random(11)
+
+    def side(n, ddl, *values):
+        rows = [(rnd.randrange(300), rnd.choice([1, 1, 1, 2, 3]), *[v(i) for v in values]) for i in range(n)]
+        return TimeSeries(spark.createDataFrame(rows, f"t long, k int, {ddl}"), "t", ["k"])
+
+    some = lambda p: lambda i: rnd.choice([None, f"{p}{i}"])
+    left = side(120, "id int, a string, z string", lambda i: i, some("l"), some("z"))
+    sides = [side(60, "a string, b string", some("p"), some("q")), side(60, "a string, c string", some("r"), some("s")),
+             side(40, "b string, c string", some("u"), some("v"))]
+    limits = [(UNBOUNDED, 1), (UNBOUNDED, UNBOUNDED), (0, 1)]
+    for width in (0, 17):
+        chain = left
+        for right, (back, ahead) in zip(sides, limits):
+            options = {"look_back": back, "look_ahead": ahead, "slice_width": width, "left_order": ["id"]}
+            chain = TimeSeries(materialize(asof_lookup(chain, right, **options)), "t", ["k"])
+        lookups = [Lookup(r, None, *x) for r, x in zip(sides, limits)]
+        got = asof_lookups(left, lookups, slice_width=width, left_order=["id"])
+        columns = ["id", "t", "k", "a", "b", "c", "z"]
+        assert set(got) == {"t"} and set(got["t"].columns) == set(columns)
+        want = sorted(map(str, chain.df.select(columns).collect()))
+        assert sorted(map(str, got["t"].select(columns).collect())) == want
+
+
+def test_lookups_at_two_times_in_one_scan(spark):
+    rnd = random.Random(12)
+    rows = [(i, rnd.choice([1, 2]), (s := rnd.randrange(200)), s + rnd.randrange(60)) for i in range(80)]
+    left = spark.createDataFrame(rows, "id int, k int, s long, e long")
+    states = [(rnd.choice([1, 2]), t, t + rnd.randrange(30), f"x{t}") for t in rnd.sample(range(250), 60)]
+    states = spark.createDataFrame(states, "k int, f long, u long, v string")
+    begin = TimeSeries(states.select("k", "f", F.col("v").alias("v")), "f", ["k"])
+    end = TimeSeries(states.select("k", "u", F.struct("v", "f").alias("w")), "u", ["k"])
+    stores = []
+    got = asof_lookups(
+        TimeSeries(left, "s", ["k"]), [Lookup(begin, look_ahead=1), Lookup(end, "e", 0, UNBOUNDED, ("w.f",))],
+        slice_width=13, left_order=["id"], store=lambda df: stores.append(1) or materialize(df),
+    )
+    first = asof_lookup(TimeSeries(left, "s", ["k"]), begin, look_ahead=1, slice_width=13, left_order=["id"])
+    last = asof_lookup(TimeSeries(left, "e", ["k"]), end, look_back=0, look_ahead=UNBOUNDED, slice_width=13, left_order=["id"], tie_break=["w.f"])
+    for at, want, cols in (("s", first, ["id", "s", "e", "v"]), ("e", last, ["id", "s", "e", "w"])):
+        assert sorted(map(str, got[at].select(cols).collect())) == sorted(map(str, want.select(cols).collect()))
+    assert stores == [1]
+    with pytest.raises(ValueError):
+        asof_lookups(TimeSeries(left, "s", ["k"]), [Lookup(begin, look_back=3)])
+
+
 def test_contained_join_equals_brute_force(spark):
     rnd = random.Random(9)
     runs = [(rnd.choice("xy"), i, s, s + rnd.randrange(0, 60)) for i, s in enumerate(rnd.randrange(0, 300) for _ in range(60))]
