@@ -10,7 +10,7 @@ from gaugeworks.functions import costs
 from gaugeworks.functions.predicates import cluster_type, derive_sku, is_automated
 from gaugeworks.functions.text import dotted_json_value
 from gaugeworks.functions.timeutil import day_of_ms, to_ts
-from gaugeworks.operators.asof import UNBOUNDED, TimeSeries, asof_lookup
+from gaugeworks.operators.asof import UNBOUNDED, Lookup, TimeSeries, asof_lookup, asof_lookups
 from gaugeworks.operators.dedup import keep_first, latest_per_key
 from gaugeworks.operators.fill import fill_forward, fill_meta, near_value
 from gaugeworks.operators.joins import missing_from, range_join
@@ -128,6 +128,7 @@ def pool_spec(audit: DataFrame, pool_snapshot: DataFrame, first_run: bool, from_
 
 # --- cluster specification --------------------------------------------------
 
+# Fields of the input.
 CLUSTER_FIELDS = [
     "driver_node_type_id", "node_type_id", "num_workers", "autoscale", "autotermination_minutes",
     "enable_elastic_disk", "start_cluster", "cluster_log_conf", "init_scripts", "custom_tags", "cluster_source",
@@ -222,7 +223,7 @@ def cluster_spec(
         "timestamp", TENANT, pool_id.alias("pool"), F.col("requestParams.instance_pool_name").alias("name"),
         F.col("requestParams.node_type_id").alias("node"),
     )
-    spec = _look_up_pools(spec, from_audit, "pool_name", "pool_node")
+    sources = [(from_audit, "pool_name", "pool_node")]
     if pool_snapshot is not None:
         snaps = pool_snapshot.select(
             snapshot_ms().alias("timestamp"), TENANT, F.col("instance_pool_id").alias("pool"),
@@ -230,10 +231,12 @@ def cluster_spec(
         )
         # the first snapshot of a pool also counts for all time before it
         oldest = keep_first(snaps, [TENANT, "pool"], ["timestamp"]).withColumn("timestamp", F.lit(0).cast("bigint"))
-        spec = _look_up_pools(materialize(spec, "cluster-pools"), snaps.unionByName(oldest), "snap_name", "snap_node")
+        sources.append((snaps.unionByName(oldest), "snap_name", "snap_node"))
     else:
         nothing = F.lit(None).cast("string")
         spec = spec.withColumns({f"{w}_{c}": nothing for w in ("worker", "driver") for c in ("snap_name", "snap_node")})
+    spec = materialize(_look_up_pools(spec, sources, "worker", "instance_pool_id"), "pool-worker")
+    spec = _look_up_pools(spec, sources, "driver", "driver_instance_pool_id")
 
     spec = keep_first(spec, [TENANT, "cluster_id", "actionName", "timestamp"], ["requestId"])
     keys, order, by = [TENANT, "cluster_id"], ["timestamp", "requestId"], day_of_ms(F.col("timestamp"))
@@ -338,17 +341,17 @@ def cluster_spec(
     )
 
 
-def _look_up_pools(spec: DataFrame, pools: DataFrame, name: str, node: str) -> DataFrame:
-    """Name and node type of the worker pool and of the driver pool at each record."""
-    for who, key in (("worker", "instance_pool_id"), ("driver", "driver_instance_pool_id")):
+def _look_up_pools(spec: DataFrame, sources: list[tuple[DataFrame, str, str]], who: str, key: str) -> DataFrame:
+    """Name and node type of a pool at each record, from all sources in one scan."""
+    keys = [TENANT, key]
+    lookups = []
+    for pools, name, node in sources:
         side = pools.select(
             "timestamp", TENANT, F.col("pool").alias(key), F.col("name").alias(f"{who}_{name}"),
             F.col("node").alias(f"{who}_{node}"),
         ).filter(F.col(key).isNotNull())
-        keys = [TENANT, key]
-        spec = asof_lookup(TimeSeries(spec, "timestamp", keys), TimeSeries(side, "timestamp", keys))
-        spec = materialize(spec, f"pool-{who}")
-    return spec
+        lookups.append(Lookup(TimeSeries(side, "timestamp", keys)))
+    return asof_lookups(TimeSeries(spec, "timestamp", keys), lookups)["timestamp"]
 
 
 # --- states -----------------------------------------------------------------
@@ -421,6 +424,7 @@ def cluster_state_detail(events: DataFrame, until_ms: int, within: int | None =
     )
 
 
+# Fields that describe a state.
 STATE_META = [
     "cluster_name", "custom_tags", "driver_node_type_id", "runtime_engine", "node_type_id", "spark_version", "sku",
     "unit_rate", "driverSpecs", "workerSpecs",
@@ -455,38 +459,43 @@ def cluster_state_fact(
         "cluster_type", "runtime_engine",
     ]
 
-    def priced(df: DataFrame) -> TimeSeries:
-        with_sku = TimeSeries(df.select(*fields).withColumn("sku", sku), "timestamp", [TENANT, "sku"])
-        month = 30 * 86_400_000
-        return TimeSeries(asof_lookup(with_sku, rates, slice_width=month), "timestamp", keys)
-
-    from_spec = priced(spec)
     snaps = snapshot.select(
         *keys, "cluster_name", F.to_json("custom_tags").alias("custom_tags"),
         F.coalesce("terminated_time", "start_time").alias("timestamp"), "driver_node_type_id", "node_type_id",
         "spark_version", F.lit(None).cast("string").alias("cluster_type"), "runtime_engine",
     )
-    from_snapshot = priced(snaps)
-
-    df = states.withColumn("timestamp", F.col("unixTimeMS_state_start"))
-    for lookup in (from_spec, from_snapshot):
-        lookup = TimeSeries(materialize(lookup.df, "priced"), "timestamp", keys)
-        df = asof_lookup(TimeSeries(df, "timestamp", keys), lookup, look_ahead=1, left_order=["state"])
-        df = materialize(df, "state-lookup")
-    df = df.drop("timestamp", "cluster_type")
-
-    for who, node in (("driver", "driver_node_type_id"), ("worker", "node_type_id")):
-        start_ms, end_ms = f"__{who}_from", f"__{who}_until"
-        machines = machine_prices.select(
-            F.col(TENANT).alias(f"__{who}_tenant"),
-            F.col("API_Name").alias(f"__{who}_node"),
-            F.struct(*machine_prices.columns).alias(f"{who}Specs"),
-            (F.unix_seconds(F.col("activeFrom").cast("timestamp")) * 1000).alias(start_ms),
-            (F.unix_seconds(F.col("activeUntil").cast("timestamp")) * 1000).alias(end_ms),
-        )
-        on = [(TENANT, f"__{who}_tenant"), (node, f"__{who}_node")]
-        df = range_join(df, machines, on, "unixTimeMS_state_start", start_ms, end_ms, F.lit(snapshot_time_ms))
-        df = df.drop(start_ms, end_ms, f"__{who}_tenant", f"__{who}_node")
+    # specifications and snapshots get their prices together
+    described = spec.select(*fields, F.lit(True).alias("is_spec")).unionByName(
+        snaps.select(*fields, F.lit(False).alias("is_spec"))
+    )
+    with_sku = TimeSeries(described.withColumn("sku", sku), "timestamp", [TENANT, "sku"])
+    month = 30 * 86_400_000
+    priced = materialize(asof_lookup(with_sku, rates, slice_width=month), "priced")
+    sides = [TimeSeries(priced.filter(c).drop("is_spec"), "timestamp", keys) for c in ("is_spec", "not is_spec")]
+    states = TimeSeries(states, "unixTimeMS_state_start", keys)
+    df = asof_lookups(states, [Lookup(x, look_ahead=1) for x in sides], left_order=["state"])[states.ts].drop("cluster_type")
+
+    # both node types of a state look up their prices together
+    start = "unixTimeMS_state_start"
+    machines = machine_prices.select(
+        F.col(TENANT).alias("__tenant"),
+        F.trim(F.lower("API_Name")).alias("__node"),
+        F.struct(*machine_prices.columns).alias("__specs"),
+        (F.unix_seconds(F.col("activeFrom").cast("timestamp")) * 1000).alias("__valid_from"),
+        (F.unix_seconds(F.col("activeUntil").cast("timestamp")) * 1000).alias("__valid_until"),
+    )
+    nodes = {who: F.trim(F.lower(c)) for who, c in (("driver", "driver_node_type_id"), ("worker", "node_type_id"))}
+    df = materialize(df, "state-lookup")
+    used = df.select(TENANT, F.col(start), F.explode(F.array(*nodes.values())).alias("node")).distinct()
+    on = [(TENANT, "__tenant"), ("node", "__node")]
+    prices = range_join(
+        used, machines, on, start, "__valid_from", "__valid_until", F.lit(snapshot_time_ms), how="inner",
+        bucket=86_400_000, text_keys=False,
+    )
+    prices = materialize(prices.select(TENANT, start, "node", "__specs"), "machine-prices")
+    for who, node in nodes.items():
+        own = prices.select(TENANT, start, F.col("node").alias("__node"), F.col("__specs").alias(f"{who}Specs"))
+        df = df.withColumn("__node", node).join(own, [TENANT, start, "__node"], "left").drop("__node")
 
     order = ["unixTimeMS_state_start", "state"]
     df = fill_meta(materialize(df, "state-prices"), STATE_META, keys, order, day_of_ms(F.col(order[0])))
