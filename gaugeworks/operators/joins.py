@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gaugeworks.operators.dedup import row_hash
+from gaugeworks.session import materialize
+
 
 def _all(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions)
@@ -216,17 +219,31 @@ def prefix_join(
 
 
 def salted_join(
-    big: DataFrame, unique: DataFrame, keys: list[str], salts: int = 16, how: str = "left"
+    big: DataFrame,
+    unique: DataFrame,
+    keys: list[str],
+    rows_per_part: int = 1_000_000,
+    how: str = "left",
+    most_hot: int = 1_000,
 ) -> DataFrame:
-    """Join a frame with hot keys to one that has a row per key.
+    """Join a frame with hot keys to one that has a row per key; only hot keys are salted.
 
-    The big side is spread over ``salts`` parts by a hash of the whole row,
-    the unique side is repeated for each part.
+    The keys with most rows are counted first, by partial aggregation of the key columns. Those with more than
+    ``rows_per_part`` rows (at most ``most_hot`` keys, which are sent to all tasks) are cut
+    into as many parts as they need by a hash of the whole row, and only their rows
+    of the unique side are repeated, once for each part. All other rows take the plain join.
     """
     if how not in ("left", "inner"):
         raise ValueError("only left and inner joins keep a row per big row")
-    spread = big.withColumn("__salt", F.pmod(F.xxhash64(*big.columns), F.lit(salts)))
-    repeated = unique.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
+    parts = F.ceil(F.col("n") / F.lit(rows_per_part)).cast("bigint")
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    hot = hot_keys(big.filter(known), keys, most_hot).filter(F.col("n") > rows_per_part)
+    hot = F.broadcast(materialize(hot.select(*keys, parts.alias("__parts")), "hot-keys"))
+    # rows without a key match nothing; they are spread too
+    salt = F.pmod(row_hash(big), F.when(known, F.coalesce("__parts", F.lit(1))).otherwise(1 << 16))
+    spread = big.join(hot, keys, "left").withColumn("__salt", salt).drop("__parts")
+    copies = F.sequence(F.lit(0).cast("bigint"), F.coalesce("__parts", F.lit(1)) - 1)
+    repeated = unique.join(hot, keys, "left").withColumn("__salt", F.explode(copies)).drop("__parts")
     return spread.join(repeated, [*keys, "__salt"], how).drop("__salt")
 
 

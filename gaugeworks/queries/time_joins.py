@@ -8,6 +8,7 @@ from gaugeworks.operators import joins
 from gaugeworks.operators.asof import UNBOUNDED, TimeSeries, asof_join, asof_lookup
 from gaugeworks.operators.overlap import cumulative_overlap, true_overlap
 from gaugeworks.operators.scan import Running, ordered_scan
+from gaugeworks.session import materialize
 from gaugeworks.queries.registry import Tables, day_slice, ms, query
 
 
@@ -200,6 +201,7 @@ def validity(t: Tables):
         "valid_until",
         F.col("o_totalprice").alias("price"),
     )
+    dim = materialize(dim, "versions")  # read twice: which widths there are, and the cells
     lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", ms("l_shipdate").alias("at"))
     owner = t.orders.select(
         F.col("o_orderkey").alias("l_orderkey"), F.concat(F.lit("cust"), F.col("o_custkey")).alias("cust")
@@ -369,7 +371,7 @@ def full_outer(t: Tables):
   ON (CASE WHEN l_partkey % 3 = 0 THEN 0 ELSE l_partkey END) = p_partkey""",
 )
 def salted(t: Tables):
-    """A third of the lines refer to one part."""
+    """A third of the lines refer to one part: it alone is cut into parts."""
     lines = t.lineitem.select(
         "l_orderkey",
         "l_linenumber",
@@ -377,7 +379,7 @@ def salted(t: Tables):
         F.when(F.col("l_partkey") % 3 == 0, 0).otherwise(F.col("l_partkey")).alias("p_partkey"),
     )
     parts = t.part.select("p_partkey", "p_brand")
-    return joins.salted_join(lines, parts, ["p_partkey"], 16).drop("p_partkey")
+    return joins.salted_join(lines, parts, ["p_partkey"], 5_000).drop("p_partkey")
 
 
 @query(

@@ -232,3 +232,16 @@ def test_prefix_and_salted_join(spark):
     small = spark.createDataFrame([(i, i * 10) for i in range(8)], "k long, v int")
     out = joins.salted_join(big, small, ["k"], 4)
     assert out.count() == 1000 and out.filter("v <> k * 10 or v is null").count() == 0
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_only_hot_keys_are_salted(spark, how):
+    rows = [(i, "hot" if i % 3 else f"k{i % 50}", {"m": i}) for i in range(600)] + [(600 + i, None, None) for i in range(50)]
+    big = spark.createDataFrame(rows, "id int, k string, extra map<string,int>")
+    unique = spark.createDataFrame([("hot", 1), *[(f"k{i}", i) for i in range(0, 40)]], "k string, v int")
+    want = {r[0]: {"hot": 1}.get(r[1], int(r[1][1:]) if r[1] and r[1] != "hot" and int(r[1][1:]) < 40 else None) for r in rows}
+    for size in (7, 100, 10_000):
+        out = joins.salted_join(big, unique, ["k"], size, how)
+        got = {r.id: r.v for r in out.collect()}
+        assert got == {i: v for i, v in want.items() if how == "left" or v is not None}
+        assert out.count() == len(got) and set(out.columns) == {"id", "k", "extra", "v"}
