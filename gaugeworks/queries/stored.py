@@ -500,6 +500,45 @@ def run_state(t: Tables):
     return last.join(window, [TENANT, "module_id"])
 
 
+_MARCH = epoch_ms(moment(2024, 3, 1))
+_PRIMORDIAL = epoch_ms(moment(2023, 11, 1))
+
+
+@query(
+    "snk_15_run_windows",
+    f"""WITH RECURSIVE d(module_id, needs) AS (SELECT * FROM (VALUES (2001, 1001), (3001, 2001), (3002, 3001), (3002, 1005), (3003, 7777)) x(a, b)),
+c AS (SELECT * FROM d UNION SELECT c.module_id, d.needs FROM c JOIN d ON c.needs = d.module_id),
+t AS (SELECT DISTINCT user_id AS k FROM events),
+s AS (SELECT k, m AS module_id, {epoch_ms(moment(2024, 1, 11))} + CASE WHEN k % 4 = 1 THEN 1 ELSE 2 END * 864000000 AS done FROM t, (VALUES (1001), (2001)) x(m)
+  WHERE NOT (m = 2001 AND k % 5 = 0)),
+p AS (SELECT k, m AS module_id, h FROM t, (VALUES (1001, NULL), (1005, 30), (2001, NULL), (3001, NULL), (3002, 20), (3003, NULL)) x(m, h)
+  WHERE NOT (m = 2001 AND k % 3 = 0)),
+r AS (SELECT coalesce(p.k, s.k) AS k, coalesce(p.module_id, s.module_id) AS module_id, p.k IS NOT NULL AS runs, done IS NULL AS first_run,
+  {_MARCH} - h::BIGINT * 86400000 AS oldest, coalesce(done, greatest({_PRIMORDIAL}, {_MARCH} - h::BIGINT * 86400000)) AS f, done
+  FROM p FULL JOIN s ON p.k = s.k AND p.module_id = s.module_id),
+l AS (SELECT *, CASE WHEN runs THEN greatest(least(f + 50 * 86400000::BIGINT, {_MARCH}), oldest) ELSE done END AS lim FROM r),
+n AS (SELECT l.k, l.module_id, bool_or(o.lim IS NULL) AS missing, min(o.lim) AS least, min(CASE WHEN o.lim IS NULL THEN c.needs END) AS lost, arg_min(c.needs, (o.lim, c.needs)) AS slow
+  FROM l JOIN c ON c.module_id = l.module_id LEFT JOIN l o ON o.k = l.k AND o.module_id = c.needs WHERE l.runs GROUP BY 1, 2)
+SELECT 't' || l.k AS organization_id, l.module_id, first_run, f AS from_ts,
+  CASE WHEN missing THEN f WHEN least < lim THEN greatest(f, least) ELSE lim END AS until_ts, CASE WHEN missing THEN lost WHEN least < lim THEN slow END AS held_by
+FROM l LEFT JOIN n ON l.k = n.k AND l.module_id = n.module_id WHERE runs""",
+)
+def run_windows(t: Tables):
+    """Windows of modules that have run, never ran, or need what does not run for the tenant."""
+    spec = runstate.run_state_table(scratch_path(t.spark, "windows15"))
+    k = F.regexp_extract(TENANT, "[0-9]+", 0).cast("int")
+    done = _state_rows(t, F.col("user_id")).filter((F.col("module_id") != 2001) | (k % 5 != 0))
+    runstate.record_run(done, spec)
+    planned = [(1001, None), (1005, 30), (2001, None), (3001, None), (3002, 20), (3003, None)]
+    modules = t.spark.createDataFrame(planned, "module_id int, history_days int")
+    tenants = t.events.select(F.concat(F.lit("t"), F.col("user_id")).alias(TENANT), "user_id").distinct()
+    # one in three tenants does not run module 2001
+    runs = F.array_compact(F.transform(F.array(*[F.lit(m) for m, _ in planned]), lambda m: F.when((m != 2001) | (F.col("user_id") % 3 != 0), m)))
+    modules = tenants.select(TENANT, F.explode(runs).alias("module_id")).join(modules, "module_id")
+    needs = t.spark.createDataFrame([(2001, 1001), (3001, 2001), (3002, 3001), (3002, 1005), (3003, 7777)], "module_id int, needs int")
+    return runstate.run_windows(tables.read_table(t.spark, spec), modules, needs, _PRIMORDIAL, _MARCH, 50)
+
+
 @query(
     "snk_16_migration",
     """SELECT o_orderkey, 'C' || o_custkey AS tag_cust, CASE o_orderstatus WHEN 'F' THEN 'done' WHEN 'O' THEN 'open' ELSE 'other' END AS state,

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gaugeworks.operators.dedup import keep_first
+from gaugeworks.session import materialize
 from gaugeworks.sources.tables import TENANT, TableSpec, at_or_after, delete_where, read_table, update_where
 
 # Status texts of a finished run.
@@ -54,6 +53,70 @@ def next_window(state: DataFrame, primordial_ms: int, snapshot_ms: int, max_days
     )
 
 
+def with_ancestors(dependencies: DataFrame) -> DataFrame:
+    """All modules that each module needs, directly or not, from rows (module_id, needs); a ring is an error."""
+    known = materialize(dependencies.select("module_id", "needs").distinct(), "needs")
+    n = known.count()
+    while True:
+        # each round doubles the steps that are joined
+        further = known.select(F.col("module_id").alias("needs"), F.col("needs").alias("next"))
+        joined = known.join(further, "needs").select("module_id", F.col("next").alias("needs"))
+        known = materialize(known.unionByName(joined).distinct(), "needs")
+        if not known.filter("module_id = needs").isEmpty():
+            raise ValueError("modules need each other")
+        if (more := known.count()) == n:
+            return known
+        n = more
+
+
+def run_windows(
+    state: DataFrame,
+    modules: DataFrame,
+    dependencies: DataFrame,
+    primordial_ms: int,
+    snapshot_ms: int,
+    max_days: int,
+) -> DataFrame:
+    """From and until of the next run of each module of a tenant, held back by what it needs.
+
+    ``modules`` lists what will run: tenant, module_id, history_days (the most its
+    source goes back, or null). ``dependencies`` has rows (module_id, needs).
+
+    A module goes on where its last finished run ended; one that never ran starts at the
+    primordial date, or at the end of its source's history. Its own limit is so many days on or
+    the snapshot time, not before the source's history. No module passes the least limit of all it
+    needs, directly or not: of one that runs too its planned limit, of another the end
+    of its last run. Where one of these has never run and will not, or stands before
+    the module's start, the window is empty (until = from). Result: tenant, module_id,
+    first_run, from_ts, until_ts, held_by (the slowest of the modules needed, the smallest
+    number of equally slow ones; null if the module's own limit counts).
+    """
+    day = 86_400_000
+    last = latest_runs(state).select(TENANT, "module_id", F.col("until_ts").alias("done_until"))
+    planned = modules.select(TENANT, "module_id", "history_days", F.lit(True).alias("runs"))
+    both = planned.join(last, [TENANT, "module_id"], "full_outer")
+    oldest = F.lit(snapshot_ms) - F.col("history_days").cast("bigint") * day
+    start = F.coalesce("done_until", F.greatest(F.lit(primordial_ms).cast("bigint"), oldest))
+    limit = F.greatest(F.least(start + max_days * day, F.lit(snapshot_ms)), oldest)
+    reach = both.select(
+        TENANT, "module_id", F.coalesce("runs", F.lit(False)).alias("runs"), F.col("done_until").isNull().alias("first_run"),
+        start.alias("from_ts"), F.when(F.col("runs"), limit).otherwise(F.col("done_until")).alias("limit_ts"),
+    )
+    reach = materialize(reach, "reach")
+    needed = reach.filter("runs").select(TENANT, "module_id").join(with_ancestors(dependencies), "module_id")
+    theirs = reach.select(TENANT, F.col("module_id").alias("needs"), "limit_ts")
+    needed = needed.join(theirs, [TENANT, "needs"], "left")
+    # a module needed that has no limit never ran and will not; it comes before all others
+    slowest = needed.groupBy(TENANT, "module_id").agg(
+        F.min(F.struct(F.col("limit_ts").isNotNull().alias("known"), "limit_ts", "needs")).alias("slowest")
+    )
+    held = F.col("slowest").isNotNull() & (~F.col("slowest.known") | (F.col("slowest.limit_ts") < F.col("limit_ts")))
+    until = F.when(held, F.greatest(F.col("from_ts"), F.coalesce("slowest.limit_ts", "from_ts"))).otherwise(F.col("limit_ts"))
+    return reach.filter("runs").join(slowest, [TENANT, "module_id"], "left").select(
+        TENANT, "module_id", "first_run", "from_ts", until.alias("until_ts"), F.when(held, F.col("slowest.needs")).alias("held_by")
+    )
+
+
 def rollback_points(state: DataFrame, instant_ms: int, modules: list[int], tenants: list[str] | None) -> DataFrame:
     """Start of the first run of each tenant and module that reaches past the instant."""
     reach = state.filter(F.col("module_id").isin(modules) & (F.col("until_ts") >= instant_ms))
@@ -73,33 +136,16 @@ def rollback_to(
     """Undo the runs of some modules from an instant on.
 
     Each table loses the rows at or after its module's cut, and the state rows
-    are marked. The plan has one row per tenant and module and is returned; a
-    dry run changes nothing.
+    are marked. The plan has one row per tenant and module and is returned; it is
+    joined to the tables and never collected. A dry run changes nothing.
     """
     points = rollback_points(read_table(spark, state_spec), instant_ms, list(targets), tenants)
-    plan = [(r[TENANT], r["module_id"], r["rollback_ts"]) for r in points.collect()]
+    plan = materialize(points, "rollback-plan")
     if not dry_run:
+        cut = F.col("rollback_ts")
         for module, spec in targets.items():
-            cuts = [(t, ts) for t, m, ts in plan if m == module]
-            if not cuts:
-                continue
-            schema = read_table(spark, spec).schema
-            gone: Column = F.lit(False)
-            marked: Column = F.lit(False)
-            for tenant, ts in cuts:
-                mine = F.col(TENANT) == tenant
-                gone = gone | (mine & at_or_after(schema, list(spec.incremental), ts))
-                marked = marked | (mine & (F.col("from_ts") >= ts))
-            delete_where(spark, spec, gone)
-            status = F.concat(F.lit(f"{ROLLED_BACK} - "), F.col("status"))
-            update_where(spark, state_spec, (F.col("module_id") == module) & marked, {"status": status})
-    return spark.createDataFrame(plan, f"{TENANT} string, module_id int, rollback_ts bigint")
-
-
-def state_row(
-    tenant: str, module_id: int, module: str, start: dt.datetime, until: dt.datetime, status: str, run_id: str,
-    snapshot: dt.datetime, metrics: dict[str, str] | None = None,
-) -> tuple:
-    from gaugeworks.functions.timeutil import epoch_ms
-
-    return (tenant, tenant, module_id, module, epoch_ms(start), epoch_ms(until), status, metrics or {}, run_id, snapshot)
+            late = at_or_after(read_table(spark, spec).schema, list(spec.incremental), cut)
+            delete_where(spark, spec, late, plan.filter(F.col("module_id") == module).drop("module_id"), [TENANT])
+        status = F.concat(F.lit(f"{ROLLED_BACK} - "), F.col("status"))
+        update_where(spark, state_spec, F.col("from_ts") >= cut, {"status": status}, plan, [TENANT, "module_id"])
+    return plan

@@ -23,6 +23,7 @@ NOISE_BUCKETS = 32
 FULL, INSERT_ONLY, UPDATE_ONLY = "full", "insertOnly", "updateOnly"
 # Marks the one row that stands for a partition without rows; readers leave it out.
 EMPTIED = "partition_is_empty"
+_HIT = "__hit"
 # Touched partition values that are named one by one in a filter; beyond, their range.
 MAX_NAMED_VALUES = 1_000
 
@@ -236,28 +237,46 @@ def _replace_partitions(df: DataFrame, spec: TableSpec) -> None:
 
 
 def rewrite_where(
-    spark: SparkSession, spec: TableSpec, condition: Column, change: Callable[[DataFrame], DataFrame] | None
+    spark: SparkSession,
+    spec: TableSpec,
+    condition: Column,
+    change: Callable[[DataFrame], DataFrame] | None,
+    facts: DataFrame | None = None,
+    on: list[str] | None = None,
 ) -> int:
     """Delete (``change`` None) or change the rows that meet a condition; their number.
 
-    Reads and rewrites the partitions with such rows only. A partition left without
+    The condition may also use the columns of ``facts``, a stored frame with one row for
+    each value of the columns ``on``, which is joined to the table (nulls match
+    each other); rows without facts are not met. Reads and rewrites the partitions with such rows only. A partition left without
     rows is overwritten by one row that marks it as empty (see EMPTIED), in the same
     write, so no folder is named or removed by hand. A change must leave the
     partition columns as they are.
     """
     table = read_table(spark, spec)
-    hit = F.coalesce(condition, F.lit(False))
-    n = table.filter(hit).count()
-    if n == 0:
-        return 0
+
+    def marked(df: DataFrame) -> DataFrame:
+        if facts is None:
+            return df.withColumn(_HIT, F.coalesce(condition, F.lit(False)))
+        known = facts.withColumnsRenamed({c: f"__on_{c}" for c in on})
+        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__on_{c}")) for c in on])
+        return df.join(known, same, "left").select(*df.columns, F.coalesce(condition, F.lit(False)).alias(_HIT))
+
     parts = list(spec.partition_by)
-    scope, touched = table, None
+    hits = marked(table).filter(_HIT)
     if parts:
-        touched = materialize(table.filter(hit).select(*parts).distinct(), f"touched-{spec.name}")
-        scope = touched_part(spark, spec, touched)
-    rest = scope.filter(~hit)
+        counted = hits.groupBy(*parts).agg(F.count(F.lit(1)).alias(_HIT))
+        touched = materialize(counted, f"touched-{spec.name}")
+        n = touched.agg(F.sum(_HIT)).first()[0] or 0
+    else:
+        n = hits.count()
+    if n == 0:
+        return 0
+    touched = touched.drop(_HIT) if parts else None
+    scope = marked(touched_part(spark, spec, touched) if parts else table)
+    rest = scope.filter(~F.col(_HIT)).drop(_HIT)
     if change is not None:
-        rest = rest.unionByName(change(scope.filter(hit)), allowMissingColumns=True)
+        rest = rest.unionByName(change(scope.filter(_HIT).drop(_HIT)), allowMissingColumns=True)
     staged = materialize(rest, f"rewrite-{spec.name}")
     if touched is not None:
         gone = _semi(touched, staged.select(*parts).distinct(), parts, "left_anti")
@@ -267,15 +286,24 @@ def rewrite_where(
     return n
 
 
-def delete_where(spark: SparkSession, spec: TableSpec, condition: Column) -> int:
-    return rewrite_where(spark, spec, condition, None)
+def delete_where(
+    spark: SparkSession, spec: TableSpec, condition: Column, facts: DataFrame | None = None, on: list[str] | None = None
+) -> int:
+    return rewrite_where(spark, spec, condition, None, facts, on)
 
 
-def update_where(spark: SparkSession, spec: TableSpec, condition: Column, values: dict[str, Column]) -> int:
+def update_where(
+    spark: SparkSession,
+    spec: TableSpec,
+    condition: Column,
+    values: dict[str, Column],
+    facts: DataFrame | None = None,
+    on: list[str] | None = None,
+) -> int:
     moved = set(values) & set(spec.partition_by)
     if moved:
         raise ValueError(f"partition columns cannot be changed in place: {sorted(moved)}")
-    return rewrite_where(spark, spec, condition, lambda df: df.withColumns(values))
+    return rewrite_where(spark, spec, condition, lambda df: df.withColumns(values), facts, on)
 
 
 def rollback_run(spark: SparkSession, specs: list[TableSpec], run_id: str, tracker: TableSpec | None = None) -> DataFrame:
@@ -290,18 +318,19 @@ def rollback_run(spark: SparkSession, specs: list[TableSpec], run_id: str, track
     return spark.createDataFrame(report, "table_name string, rows_changed bigint")
 
 
-def at_or_after(schema: T.StructType, columns: list[str], instant_ms: int) -> Column:
-    """All of the time columns at or after an instant."""
-    day = dt.datetime.fromtimestamp(instant_ms / 1000, dt.timezone.utc)
+def at_or_after(schema: T.StructType, columns: list[str], instant_ms: int | Column) -> Column:
+    """All of the time columns at or after an instant, which may differ from row to row."""
+    instant = instant_ms if isinstance(instant_ms, Column) else F.lit(instant_ms)
+    moment = F.timestamp_millis(instant)
     conditions = []
     for name in columns:
         kind, c = schema[name].dataType, F.col(name)
         if isinstance(kind, T.DateType):
-            conditions.append(c >= F.lit(day.date()))
+            conditions.append(c >= F.to_date(F.date_trunc("day", moment)))
         elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-            conditions.append(c >= F.timestamp_millis(F.lit(instant_ms)))
+            conditions.append(c >= moment)
         else:
-            conditions.append(c.cast("bigint") >= instant_ms)
+            conditions.append(c.cast("bigint") >= instant)
     return reduce(lambda a, b: a & b, conditions)
 
 
