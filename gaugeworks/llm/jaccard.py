@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from gaugeworks.llm.common import small_batches, text_key
 from gaugeworks.llm.components import component_roots
-from gaugeworks.llm.lm_scoring import _words
+from gaugeworks.llm.lm_scoring import split_words
 from gaugeworks.llm.scan import byte_slices
 from gaugeworks.llm.simhash import keep_first
 from gaugeworks.session import materialize
@@ -44,7 +44,7 @@ WANTED = 1 << 22
 
 def shingle_sets(texts: pa.Array) -> Iterator[np.ndarray]:
     """For each text the sorted distinct hashes of its shingles; fewer words than a shingle are one."""
-    words, lengths = _words(texts)
+    words, lengths = split_words(texts)
     coded = words.dictionary_encode()
     digest = xxhash.xxh64_intdigest
     of = np.array([digest(w, SEED) for w in coded.dictionary.to_pylist()], dtype=np.uint64)

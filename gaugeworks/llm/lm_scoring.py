@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from math import ceil
 
 import numpy as np
 import pandas as pd
@@ -18,8 +19,10 @@ from gaugeworks.llm.common import query, small_batches, table
 from gaugeworks.llm.scan import byte_slices
 from gaugeworks.session import materialize
 
-# Ids of words beyond the most frequent ones, by hash.
-RARE_IDS = 256
+# The part of all ids that stands for words beyond the most frequent ones, by hash.
+RARE_PART = 16
+# Tokens that a partition learns from, for each id; smaller partitions are put together.
+TOKENS_PER_ID = 256
 # Passes over the corpus, and the share of all tokens that each masks and learns from:
 # together the passes learn from every token.
 ROUNDS = 2
@@ -31,7 +34,7 @@ COUNT_BYTES = 8 << 20
 TOKENS_AT_ONCE = 1 << 19
 
 
-def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """Lower-cased words (runs without ASCII blanks) of all texts, and the number of each text."""
     lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
     flat = lists.flatten()
@@ -48,7 +51,7 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
         for batch in batches:
             texts = batch.column("text")
             for first, last in byte_slices(texts, COUNT_BYTES):
-                found = pc.value_counts(_words(texts.slice(first, last - first))[0])
+                found = pc.value_counts(split_words(texts.slice(first, last - first))[0])
                 yield pa.RecordBatch.from_arrays([found.field("values"), found.field("counts")], ["word", "n"])
 
     parts = docs.select(F.col(text_col).alias("text")).mapInArrow(count, "word string, n long")
@@ -58,46 +61,55 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
 def vocabulary(counts: DataFrame) -> tuple[dict[str, int], np.ndarray]:
     """Ids of the most frequent words of the whole corpus, and the count of each id.
 
-    The other words share RARE_IDS ids by hash; the count of such an id is that of its words.
+    There are more ids the larger the corpus is (`window_model.Net.for_tokens`). The words beyond
+    share the last ids by hash; the count of such an id is that of its words.
     """
-    top = counts.orderBy(F.desc("n"), "word").limit(model.VOCABULARY - RARE_IDS).collect()
-    n = np.zeros(model.VOCABULARY)
+    ids = model.Net.for_tokens(counts.agg(F.sum("n")).first()[0] or 0).vocabulary
+    top = counts.orderBy(F.desc("n"), "word").limit(ids - ids // RARE_PART).collect()
+    n = np.zeros(ids)
     n[: len(top)] = [r.n for r in top]
     known = {r.word: i for i, r in enumerate(top)}
     for r in rare_words(counts, known, n).groupBy("id").agg(F.sum("n").alias("n")).collect():
-        n[model.VOCABULARY - RARE_IDS + r.id] = r.n
+        n[ids - ids // RARE_PART + r.id] = r.n
     return known, n
 
 
 def rare_words(counts: DataFrame, known: dict[str, int], n: np.ndarray) -> DataFrame:
     """(word, n, id) of the words beyond the known ones, which are those that come first by count and word."""
-    marked = counts.withColumn("id", (F.crc32(F.col("word").cast("binary")) % RARE_IDS).cast("int"))
-    if len(known) < model.VOCABULARY - RARE_IDS:
+    rare = len(n) // RARE_PART
+    marked = counts.withColumn("id", (F.crc32(F.col("word").cast("binary")) % rare).cast("int"))
+    if len(known) < len(n) - rare:
         return marked.filter(F.lit(False))
     last, least = next(reversed(known)), int(n[len(known) - 1])
     return marked.filter((F.col("n") < least) | ((F.col("n") == least) & (F.col("word") > last)))
 
 
-def encoded(docs: DataFrame, known: dict[str, int], id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, ids, row, words, times): the word ids of each whole text as 16-bit numbers,
+def _kind(ids: int) -> str:
+    """How ids are stored."""
+    return "<u2" if ids <= 1 << 16 else "<u4"
+
+
+def encoded(
+    docs: DataFrame, known: dict[str, int], id_col: str, text_col: str, ids_in_all: int = model.SMALL.vocabulary
+) -> DataFrame:
+    """(doc_id, ids, row, words, times): the word ids of each whole text as numbers of 16 or 32 bits,
     a number of the row, and its rare words with their counts; written once.
     """
+    rare_ids = ids_in_all // RARE_PART
+    first_rare, kind = ids_in_all - rare_ids, _kind(ids_in_all)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
             texts = batch.column("text")
             for first, last in byte_slices(texts):
-                words, lengths = _words(texts.slice(first, last - first))
+                words, lengths = split_words(texts.slice(first, last - first))
                 coded = words.dictionary_encode()
                 names, indices = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
-                of = [
-                    known[w] if w in known else model.VOCABULARY - RARE_IDS + zlib.crc32(w.encode()) % RARE_IDS
-                    for w in names
-                ]
-                ids = np.array(of, dtype="<u2")[indices]
+                of = [known[w] if w in known else first_rare + zlib.crc32(w.encode()) % rare_ids for w in names]
+                ids = np.array(of, dtype=kind)[indices]
                 ends = np.cumsum(lengths)
-                rare = ids >= model.VOCABULARY - RARE_IDS
+                rare = ids >= first_rare
                 owner = np.repeat(np.arange(len(lengths)), lengths)
                 own, times = np.unique(owner[rare] * max(len(names), 1) + indices[rare], return_counts=True)
                 cuts = np.searchsorted(own // max(len(names), 1), np.arange(len(lengths) + 1)).astype(np.int32)
@@ -114,13 +126,13 @@ def encoded(docs: DataFrame, known: dict[str, int], id_col: str, text_col: str)
     return materialize(rows.mapInArrow(encode, "doc_id long, ids binary, row long, words array<string>, times array<long>"), "word-ids")
 
 
-def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def _texts(batch: pa.RecordBatch, net: model.Net) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Rows first to last of a batch at a time: their ids one after another, and their ends."""
-    cells = batch.column("ids")
-    for first, last in byte_slices(cells, 2 * TOKENS_AT_ONCE):
+    cells, kind = batch.column("ids"), np.dtype(_kind(net.vocabulary))
+    for first, last in byte_slices(cells, kind.itemsize * TOKENS_AT_ONCE):
         part = cells.slice(first, last - first)
-        ids = np.frombuffer(b"".join(v.as_buffer() for v in part), dtype="<u2").astype(np.int64)
-        yield first, last, ids, np.cumsum(pc.binary_length(part).to_numpy(zero_copy_only=False)) // 2
+        ids = np.frombuffer(b"".join(v.as_buffer() for v in part), dtype=kind).astype(np.int64)
+        yield first, last, ids, np.cumsum(pc.binary_length(part).to_numpy(zero_copy_only=False)) // kind.itemsize
 
 
 def masked_tokens(ids: np.ndarray, ends: np.ndarray, turn: float, share: float) -> np.ndarray:
@@ -138,22 +150,22 @@ def masked_tokens(ids: np.ndarray, ends: np.ndarray, turn: float, share: float)
     return (at - int(turn * 2**32)) % 2**32 < np.ceil(share * 2**32)
 
 
-def _learn(flat: np.ndarray, seed: int, turn: float, masked_share: float):
+def _learn(flat: np.ndarray, net: model.Net, seed: int, turn: float, masked_share: float):
     """One pass over a partition: its parameters in chunks, times the tokens it learned from."""
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        learner, learned = model.Learner(flat), 0
+        learner, learned = model.Learner(flat, net), 0
         for batch in batches:
-            for first, _, ids, ends in _texts(batch):
+            for first, _, ids, ends in _texts(batch, net):
                 draw = np.random.default_rng([seed, learned, len(ids)])
                 masked = draw.permutation(np.flatnonzero(masked_tokens(ids, ends, turn, masked_share)))
-                near = model.contexts(ids, ends)
-                for start in range(0, len(masked), model.MINIBATCH):
-                    some = masked[start : start + model.MINIBATCH]
+                near = model.contexts(ids, ends, net)
+                for start in range(0, len(masked), net.minibatch):
+                    some = masked[start : start + net.minibatch]
                     learner.step(ids[some], near[:, some])
                 learned += len(masked)
         if learned:
-            chunks = [learner.flat[i : i + CHUNK].astype("<f8") * learned for i in range(0, model.SIZE, CHUNK)]
+            chunks = [learner.flat[i : i + CHUNK].astype("<f8") * learned for i in range(0, net.size, CHUNK)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(range(len(chunks))), pa.array([learned] * len(chunks)), pa.array([c.tobytes() for c in chunks])],
                 ["chunk", "learned", "total"],
@@ -180,11 +192,15 @@ def train(ids: DataFrame, counts: np.ndarray, rounds: int = ROUNDS, masked_share
 
     In a pass every partition starts from the common parameters and learns from its
     own documents; the results are averaged by the tokens learned from, a bounded
-    number at a time, and the model alone reaches the driver.
+    number at a time, and the model alone reaches the driver. A partition learns from
+    TOKENS_PER_ID tokens for each id of the vocabulary or more, so all partitions' models
+    together grow no faster than the corpus.
     """
-    flat = model.initial(counts)
+    flat, net = model.initial(counts), model.Net.of_ids(len(counts))
+    learners = max(1, ceil(counts.sum() / (TOKENS_PER_ID * net.vocabulary)))
     for r in range(rounds):
-        out = ids.mapInArrow(_learn(flat, seed + r, r / rounds, masked_share), "chunk long, learned long, total binary")
+        learn = _learn(flat, net, seed + r, r / rounds, masked_share)
+        out = ids.coalesce(learners).mapInArrow(learn, "chunk long, learned long, total binary")
         sums = materialize(out.withColumn("part", F.spark_partition_id().cast("long")), "passes")
         for _ in range(2):
             group = [F.floor(F.col("part") / FAN_IN), F.col("chunk")]
@@ -213,8 +229,8 @@ def score_documents(
     The log-likelihood is the sum, over all words of the whole text, of the word's
     log-probability given the two words on either side (with edge marks at the
     ends). That of a rare word is its id's plus the log of the word's share of all words
-    of that id in the corpus. The vocabulary counts every word of the corpus and training passes over
-    every document. Null and empty texts have no tokens, the sum 0 and a null mean;
+    of that id in the corpus. The vocabulary grows with the square root of the corpus's
+    words, all of which are counted, and training passes over every document. Null and empty texts have no tokens, the sum 0 and a null mean;
     one word alone is scored from edge marks; repeated rows and null ids give a row
     each; an empty table gives none. Other columns are not read.
     """
@@ -222,13 +238,14 @@ def score_documents(
     small_batches(spark, 500)
     counts = materialize(word_counts(docs, text_col), "word-counts")
     known, n = vocabulary(counts)
-    ids = encoded(docs, known, id_col, text_col)
+    net = model.Net.of_ids(len(n))
+    ids = encoded(docs, known, id_col, text_col, len(n))
     flat = train(ids.select("ids"), n, rounds, masked_share)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, last, own, ends in _texts(batch):
-                logs = model.log_probabilities(flat, own, model.contexts(own, ends))
+            for first, last, own, ends in _texts(batch, net):
+                logs = model.log_probabilities(flat, own, model.contexts(own, ends, net), net)
                 sums = np.concatenate(([0.0], np.cumsum(logs)))
                 starts = np.concatenate(([0], ends[:-1]))
                 lengths = ends - starts

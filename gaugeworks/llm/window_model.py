@@ -7,57 +7,99 @@ token and the token within its class. The token itself is never part of its inpu
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from math import ceil, log2, prod, sqrt
+
 import numpy as np
 
 OFFSETS = (-2, -1, 1, 2)
-CLASSES = 64
-MEMBERS = 64
 WIDTH = 16
-VOCABULARY = CLASSES * MEMBERS
-EDGE = VOCABULARY  # the id beyond either end of a text
-
-SHAPES = {
-    "inputs": (len(OFFSETS), VOCABULARY + 1, WIDTH),
-    "hidden": (WIDTH,),
-    "classes": (CLASSES, WIDTH),
-    "class_bias": (CLASSES,),
-    "members": (CLASSES, MEMBERS, WIDTH),
-    "member_bias": (CLASSES, MEMBERS),
-}
-SIZE = sum(int(np.prod(s)) for s in SHAPES.values())
-MINIBATCH = 2_048
-
-
-def views(flat: np.ndarray) -> dict[str, np.ndarray]:
+# The fewest ids, and the ids for the square root of a corpus's tokens.
+LEAST_IDS = 4096
+IDS_PER_ROOT = 1 / 4
+
+
+@dataclass(frozen=True)
+class Net:
+    """The sizes of a network: its ids are in classes of equally many members."""
+
+    classes: int = 64
+    members: int = 64
+
+    @staticmethod
+    def of_ids(ids: int) -> "Net":
+        bits = ids.bit_length() - 1
+        return Net(1 << (bits + 1) // 2, 1 << bits // 2)
+
+    @staticmethod
+    def for_tokens(tokens: int) -> "Net":
+        """The vocabulary grows with the square root of the corpus, in powers of two."""
+        return Net.of_ids(1 << ceil(log2(max(LEAST_IDS, IDS_PER_ROOT * sqrt(tokens)))))
+
+    @property
+    def vocabulary(self) -> int:
+        return self.classes * self.members
+
+    @property
+    def edge(self) -> int:
+        """The id beyond either end of a text."""
+        return self.vocabulary
+
+    @property
+    def shapes(self) -> dict[str, tuple[int, ...]]:
+        return {
+            "inputs": (len(OFFSETS), self.vocabulary + 1, WIDTH),
+            "hidden": (WIDTH,),
+            "classes": (self.classes, WIDTH),
+            "class_bias": (self.classes,),
+            "members": (self.classes, self.members, WIDTH),
+            "member_bias": (self.classes, self.members),
+        }
+
+    @property
+    def size(self) -> int:
+        return sum(prod(s) for s in self.shapes.values())
+
+    @property
+    def minibatch(self) -> int:
+        """Tokens of one step: about as many for each class in every network."""
+        return 128 * self.classes
+
+
+SMALL = Net()
+
+
+def views(flat: np.ndarray, net: Net = SMALL) -> dict[str, np.ndarray]:
     """The named parameters inside one flat array."""
     out, at = {}, 0
-    for name, shape in SHAPES.items():
-        n = int(np.prod(shape))
+    for name, shape in net.shapes.items():
+        n = prod(shape)
         out[name] = flat[at : at + n].reshape(shape)
         at += n
     return out
 
 
 def initial(counts: np.ndarray, seed: int = 5) -> np.ndarray:
-    """Parameters that give the corpus frequencies of the words before any training."""
-    flat = np.zeros(SIZE, dtype=np.float32)
-    p = views(flat)
+    """Parameters that give the corpus frequencies of the ids before any training."""
+    net = Net.of_ids(len(counts))
+    flat = np.zeros(net.size, dtype=np.float32)
+    p = views(flat, net)
     r = np.random.default_rng(seed)
     for name in ("inputs", "classes", "members"):
         p[name][...] = r.normal(0, 0.1, p[name].shape)
-    share = (counts + 0.5).reshape(CLASSES, MEMBERS)
+    share = (counts + 0.5).reshape(net.classes, net.members)
     p["class_bias"][...] = np.log(share.sum(axis=1) / share.sum())
     p["member_bias"][...] = np.log(share / share.sum(axis=1, keepdims=True))
     return flat
 
 
-def contexts(ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+def contexts(ids: np.ndarray, bounds: np.ndarray, net: Net = SMALL) -> np.ndarray:
     """For each token the ids at OFFSETS in its own text; `bounds` holds the texts' ends."""
     lengths = np.diff(np.concatenate(([0], bounds)))
     start = np.repeat(bounds - lengths, lengths)
     end = np.repeat(bounds, lengths)
     at = np.arange(len(ids))
-    out = np.full((len(OFFSETS), len(ids)), EDGE, dtype=np.int64)
+    out = np.full((len(OFFSETS), len(ids)), net.edge, dtype=np.int64)
     for row, offset in enumerate(OFFSETS):
         there = at + offset
         inside = (there >= start) & (there < end)
@@ -72,68 +114,88 @@ def _hidden(p: dict[str, np.ndarray], near: np.ndarray) -> np.ndarray:
     return np.tanh(total)
 
 
-def _by_class(ids: np.ndarray):
+def _by_class(ids: np.ndarray, net: Net):
     """The order of tokens by class, and (class, from, to) in that order."""
-    kinds = ids // MEMBERS
+    kinds = ids // net.members
     order = np.argsort(kinds, kind="stable")
-    edges = np.searchsorted(kinds[order], np.arange(CLASSES + 1))
-    return order, [(c, edges[c], edges[c + 1]) for c in range(CLASSES) if edges[c] < edges[c + 1]]
+    edges = np.searchsorted(kinds[order], np.arange(net.classes + 1))
+    return order, [(c, edges[c], edges[c + 1]) for c in range(net.classes) if edges[c] < edges[c + 1]]
 
 
-def _log_softmax(z: np.ndarray) -> np.ndarray:
+def _log_share(z: np.ndarray, of: np.ndarray | int) -> np.ndarray:
+    """The log of the softmax of each row, at one column."""
     z -= z.max(axis=1, keepdims=True)
-    z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
-    return z
+    own = z[np.arange(len(z)), of]
+    np.exp(z, out=z)
+    return own - np.log(z @ np.ones(z.shape[1], dtype=z.dtype))
 
 
-def log_probabilities(flat: np.ndarray, ids: np.ndarray, near: np.ndarray) -> np.ndarray:
+def log_probabilities(flat: np.ndarray, ids: np.ndarray, near: np.ndarray, net: Net = SMALL) -> np.ndarray:
     """Log-probability of each token given its neighbours."""
-    p = views(flat)
+    p = views(flat, net)
     out = np.empty(len(ids))
-    order, groups = _by_class(ids)
+    order, groups = _by_class(ids, net)
     h = _hidden(p, near[:, order])
-    own = ids[order]
+    own = ids[order] % net.members
     for c, a, b in groups:
         part = h[a:b]
-        rows = np.arange(b - a)
-        upper = _log_softmax(part @ p["classes"].T + p["class_bias"])[:, c]
-        lower = _log_softmax(part @ p["members"][c].T + p["member_bias"][c])[rows, own[a:b] % MEMBERS]
+        upper = _log_share(part @ p["classes"].T + p["class_bias"], c)
+        lower = _log_share(part @ p["members"][c].T + p["member_bias"][c], own[a:b])
         out[order[a:b]] = upper + lower
     return out
 
 
+def _softmax(z: np.ndarray) -> np.ndarray:
+    z -= z.max(axis=1, keepdims=True)
+    np.exp(z, out=z)
+    z /= (z @ np.ones(z.shape[1], dtype=z.dtype))[:, None]
+    return z
+
+
 class Learner:
-    """Adagrad over minibatches, from given parameters."""
+    """Adagrad over minibatches, from given parameters; only the classes of a minibatch are updated."""
 
-    def __init__(self, flat: np.ndarray, rate: float = 0.08):
+    def __init__(self, flat: np.ndarray, net: Net = SMALL, rate: float = 0.2):
         self.flat = flat.astype(np.float32).copy()
-        self.p, self.rate = views(self.flat), rate
-        self.grad = np.zeros_like(self.flat)
-        self.g = views(self.grad)
-        self.seen = np.full_like(self.flat, 1e-4)
-
-    def step(self, ids: np.ndarray, near: np.ndarray) -> None:
-        p, g = self.p, self.g
-        self.grad[:] = 0
-        order, groups = _by_class(ids)
+        self.net, self.rate = net, rate
+        self.p = views(self.flat, net)
+        self.seen = views(np.full_like(self.flat, 1e-4), net)
+
+    def gradient(self, ids: np.ndarray, near: np.ndarray) -> list[tuple[str, tuple, np.ndarray]]:
+        """Of the mean loss, by parameter: (name, what part of it, gradient); elsewhere it is zero."""
+        p, net, n = self.p, self.net, len(ids)
+        order, groups = _by_class(ids, net)
         ids, near = ids[order], near[:, order]
         h = _hidden(p, near)
-        rows = np.arange(len(ids))
-        error = np.exp(_log_softmax(h @ p["classes"].T + p["class_bias"]))
-        error[rows, ids // MEMBERS] -= 1
-        g["classes"][...] = error.T @ h
-        g["class_bias"][...] = error.sum(axis=0)
+        rows = np.arange(n)
+        error = _softmax(h @ p["classes"].T + p["class_bias"])
+        error[rows, ids // net.members] -= 1
+        error /= n
+        out = [("classes", (...,), error.T @ h), ("class_bias", (...,), error.sum(axis=0))]
         back = error @ p["classes"]
+        own = ids % net.members
         for c, a, b in groups:
-            wrong = np.exp(_log_softmax(h[a:b] @ p["members"][c].T + p["member_bias"][c]))
-            wrong[rows[: b - a], ids[a:b] % MEMBERS] -= 1
-            g["members"][c] = wrong.T @ h[a:b]
-            g["member_bias"][c] = wrong.sum(axis=0)
+            part = h[a:b]
+            wrong = _softmax(part @ p["members"][c].T + p["member_bias"][c])
+            wrong[rows[: b - a], own[a:b]] -= 1
+            wrong /= n
+            out += [("members", (c,), wrong.T @ part), ("member_bias", (c,), wrong.sum(axis=0))]
             back[a:b] += wrong @ p["members"][c]
         back *= 1 - h * h
-        g["hidden"][...] = back.sum(axis=0)
+        out.append(("hidden", (...,), back.sum(axis=0)))
+        # sums for each place and id, a column at a time
+        wide = np.ascontiguousarray(back.T)
+        sums = np.empty((len(OFFSETS), net.vocabulary + 1, WIDTH), dtype=np.float32)
         for row in range(len(OFFSETS)):
-            np.add.at(g["inputs"][row], near[row], back)
-        self.grad /= len(ids)
-        self.seen += self.grad * self.grad
-        self.flat -= self.rate * self.grad / np.sqrt(self.seen)
+            for column in range(WIDTH):
+                sums[row, :, column] = np.bincount(near[row], wide[column], net.vocabulary + 1)
+        out.append(("inputs", (...,), sums))
+        return out
+
+    def step(self, ids: np.ndarray, near: np.ndarray) -> None:
+        for name, part, g in self.gradient(ids, near):
+            values, seen = self.p[name][part], self.seen[name][part]
+            seen += g * g
+            g *= self.rate
+            g /= np.sqrt(seen)
+            values -= g

@@ -4,9 +4,11 @@ import numpy as np
 import pytest
 from fixtures import awkward, docs_of, nothing
 from gaugeworks.llm import window_model as model
-from gaugeworks.llm.lm_scoring import MASKED_SHARE, ROUNDS, encoded, masked_tokens, score_documents, vocabulary, word_counts
+from gaugeworks.llm.lm_scoring import MASKED_SHARE, ROUNDS, encoded, masked_tokens, score_documents, train, vocabulary, word_counts
 from pyspark.sql import functions as F
 
+NET = model.SMALL
+
 
 def plain_probability(flat, ids, i, start, end):
     """Log-probability of token i, one token at a time."""
@@ -14,17 +16,17 @@ def plain_probability(flat, ids, i, start, end):
     total = p["hidden"].copy()
     for row, offset in enumerate(model.OFFSETS):
         j = i + offset
-        total = total + p["inputs"][row][ids[j] if start <= j < end else model.EDGE]
+        total = total + p["inputs"][row][ids[j] if start <= j < end else NET.edge]
     h = np.tanh(total)
-    c, m = divmod(int(ids[i]), model.MEMBERS)
+    c, m = divmod(int(ids[i]), NET.members)
     upper, lower = p["classes"] @ h + p["class_bias"], p["members"][c] @ h + p["member_bias"][c]
     return upper[c] - np.log(np.exp(upper).sum()) + lower[m] - np.log(np.exp(lower).sum())
 
 
 def test_probabilities_against_a_plain_version():
     r = np.random.default_rng(0)
-    flat = model.initial(r.integers(0, 50, model.VOCABULARY).astype(float))
-    ids, ends = r.integers(0, model.VOCABULARY, 40), np.array([7, 7, 8, 40])
+    flat = model.initial(r.integers(0, 50, NET.vocabulary).astype(float))
+    ids, ends = r.integers(0, NET.vocabulary, 40), np.array([7, 7, 8, 40])
     got = model.log_probabilities(flat, ids, model.contexts(ids, ends))
     start = 0
     for end in ends:
@@ -37,11 +39,13 @@ def test_gradient_lowers_the_loss_it_belongs_to():
     r = np.random.default_rng(1)
     ids = np.tile(np.array([3, 70, 900, 4000]), 300)
     near = model.contexts(ids, np.array([len(ids)]))
-    flat = model.initial(np.ones(model.VOCABULARY))
+    flat = model.initial(np.ones(NET.vocabulary))
     learner = model.Learner(flat)
+    grads = model.views(np.zeros_like(flat))
+    for name, part, g in learner.gradient(ids, near):
+        grads[name][part] += g
     learner.step(ids, near)
-    for name in model.SHAPES:
-        g = model.views(learner.grad)[name]
+    for name, g in grads.items():
         at = np.unravel_index(np.abs(g).argmax(), g.shape)
         moved = []
         for step in (1e-2, -1e-2):
@@ -56,6 +60,34 @@ def test_gradient_lowers_the_loss_it_belongs_to():
     assert model.log_probabilities(learner.flat, ids, near).mean() > before + 4
 
 
+def test_vocabulary_grows_with_the_corpus():
+    assert model.Net.for_tokens(0) == model.Net.for_tokens(200_000_000) == NET
+    sizes = [model.Net.for_tokens(10**k) for k in (9, 10, 11, 14)]
+    assert [s.vocabulary for s in sizes] == [1 << 13, 1 << 15, 1 << 17, 1 << 22]
+    assert all(model.Net.of_ids(s.vocabulary) == s and s.classes in (s.members, 2 * s.members) for s in sizes)
+
+
+@pytest.mark.parametrize("least", [1 << 13, 1 << 17])
+def test_larger_vocabularies_score_the_same_way(spark, monkeypatch, least):
+    monkeypatch.setattr(model, "LEAST_IDS", least)
+    words = [f"w{i}" for i in range(9000)]
+    docs = docs_of(spark, [(i, " ".join(words[(i * 307 + 6 * k) % 9000] for k in range(1500))) for i in range(30)])
+    known, n = vocabulary(word_counts(docs))
+    assert len(n) == least and len(known) == min(9000, least - least // 16) and n.sum() == 30 * 1500
+    net, got = model.Net.of_ids(least), {r.doc_id: r for r in score_documents(docs).collect()}
+    assert len(got) == 30 and all(r.n_tokens == 1500 and np.isfinite(r.log_likelihood) for r in got.values())
+    flat = train(encoded(docs, known, "doc_id", "text", least).select("ids"), n)
+    counts = {r.word: r.n for r in word_counts(docs).collect()}
+    first_rare = least - least // 16
+    of = lambda w: known.get(w, first_rare + zlib.crc32(w.encode()) % (least // 16))
+    text = docs.filter("doc_id = 3").first().text.split()
+    ids = np.array([of(w) for w in text])
+    logs = model.log_probabilities(flat, ids, model.contexts(ids, np.array([len(ids)]), net), net)
+    rare = [(w, i) for w, i in zip(text, ids) if i >= first_rare]
+    # an end-to-end sum by hand: the network's, and each rare word's share of its id
+    assert got[3].log_likelihood == pytest.approx(logs.sum() + sum(np.log(counts[w] / n[i]) for w, i in rare), rel=1e-3)
+
+
 def test_counts_cover_all_words(spark):
     docs = docs_of(spark, [(1, "A b\na"), (2, None), (3, " b\tc ")])
     assert {r.word: r.n for r in word_counts(docs).collect()} == {"a": 2, "b": 2, "c": 1}
