@@ -131,19 +131,16 @@ def train(sample: np.ndarray, n_vectors: int, near: int, target: float = TARGET_
 
 
 def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """(vec_id, v array<double>) of the vectors that take part.
+    """(vec_id, v array<double>) of the vectors that take part, each once.
 
-    Left out: null ids, null or zero vectors, vectors with a null or non-finite
-    component, and those of another dimension than most (the least, on a tie). Of
-    several vectors of one id the one of the smallest hash stays.
+    Left out: null ids, null or zero vectors, and vectors with a null or non-finite
+    component. An id may have several vectors; equal rows are one.
     """
     bad = F.exists(
         F.col(vec_col), lambda x: x.isNull() | F.isnan(x.cast("double")) | (F.abs(x.cast("double")) == float("inf"))
     )
     rows = vectors.select(F.col(id_col).alias("vec_id"), F.when(~bad, F.col(vec_col).cast("array<double>")).alias("v"))
-    rows = rows.filter(F.col("vec_id").isNotNull() & F.exists("v", lambda x: x != 0))
-    rows = rows.groupBy("vec_id").agg(F.min_by("v", F.xxhash64("v")).alias("v"))
-    return rows
+    return rows.filter(F.col("vec_id").isNotNull() & F.exists("v", lambda x: x != 0)).distinct()
 
 
 def _row_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
@@ -165,29 +162,36 @@ def nearest(
 
     The score is the cosine of the original vectors in double precision, ties go to
     the smaller id, and a row is never its own neighbour. Every usable row (see
-    `usable`) is indexed. Equal vectors are one entry with its near + 1 smallest ids,
+    `usable`) is indexed, also several vectors of one id: each is a candidate, and
+    each vector of an id in `asked` has its own answer under that id. Vectors of different
+    dimensions have no cosine; each dimension has an index of its own. Equal vectors are one
+    entry with its near + 1 smallest ids,
     which is all that a result can hold of them, so a vector that very many rows
     have costs no more than another. With fewer candidates than `near` all are
     returned; no vectors or no queries give no rows. Other columns are not read.
     """
     spark = vectors.sparkSession
     rows = materialize(usable(vectors, id_col, vec_col).withColumn("dim", F.size("v")), "vectors")
-    dims = rows.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "dim").first()
-    empty = "query_id long, rank int, vec_id long, score double"
-    if dims is None:
-        return spark.createDataFrame([], empty)
-    rows = rows.filter(F.col("dim") == dims.dim).select("vec_id", "v")
+    out = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    for (dim,) in rows.select("dim").distinct().orderBy("dim").collect():
+        out = out.unionByName(_nearest(rows.filter(F.col("dim") == dim).drop("dim"), asked, near, target, sample_rows))
+    return out
 
+
+def _nearest(rows: DataFrame, asked: DataFrame, near: int, target: float, sample_rows: int) -> DataFrame:
+    """The answers among stored rows (vec_id, v) of one dimension."""
+    spark = rows.sparkSession
     keys = [F.xxhash64("v").alias("k1"), F.xxhash64(F.lit("second"), "v").alias("k2")]
     keyed = rows.select("vec_id", "v", *keys)
     first = Window.partitionBy("k1", "k2").orderBy("vec_id")
     few = keyed.withColumn("nth", F.row_number().over(first)).filter(F.col("nth") <= near + 1)
     entries = few.groupBy("k1", "k2").agg(
-        F.min("vec_id").alias("entry"), F.sort_array(F.collect_list("vec_id")).alias("ids"), F.min_by("v", "nth").alias("v")
+        F.min("vec_id").alias("low"), F.sort_array(F.collect_list("vec_id")).alias("ids"), F.min_by("v", "nth").alias("v")
     )
-    entries = materialize(entries, "entries")
+    # numbers of the entries, fixed by writing them
+    entries = materialize(entries.withColumn("entry", F.monotonically_increasing_id()), "entries")
     total = entries.count()
-    sample = entries.orderBy(F.xxhash64("v", "entry")).limit(sample_rows).select("v").collect()
+    sample = entries.orderBy(F.xxhash64("v"), "low").limit(sample_rows).select("v").collect()
     book = train(np.array([r.v for r in sample], dtype=float), total, near + 1, target)
     k = book.centroids
 
@@ -197,7 +201,9 @@ def nearest(
         for batch, v in _row_blocks(batches):
             yield batch.assign(cell=book.cells(_unit(v)))
 
-    indexed = entries.select("entry", "ids", "v").mapInPandas(to_cells, "entry long, ids array<long>, v array<double>, cell long")
+    indexed = entries.select("entry", "low", "ids", "v").mapInPandas(
+        to_cells, "entry long, low long, ids array<long>, v array<double>, cell long"
+    )
     indexed = materialize(indexed, "cells")
     counts = np.zeros(k * k, dtype=np.int64)
     for r in indexed.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect():
@@ -212,7 +218,6 @@ def nearest(
     queries = keyed.join(asked.select("vec_id").distinct(), "vec_id").select("vec_id", "k1", "k2")
     queries = materialize(queries.withColumnRenamed("vec_id", "query_id"), "queries")
     distinct = queries.select("k1", "k2").distinct().join(entries.select("k1", "k2", "entry", "v"), ["k1", "k2"])
-    blocks = max(1, -(-distinct.count() // QUERY_BLOCK))
 
     def to_buckets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch, v in _row_blocks(batches):
@@ -224,24 +229,24 @@ def nearest(
                 order = np.argsort(where, kind="stable")
                 cuts = np.flatnonzero(np.diff(where[order])) + 1
                 for some in np.split(parts[order], cuts):
-                    out.append((int(bucket_of[some[0]]), entry % blocks, entry, vector, some))
-            yield pd.DataFrame(out, columns=["bucket", "block", "entry", "v", "parts"])
+                    out.append((int(bucket_of[some[0]]), int(where[0]), entry, vector, some))
+            yield pd.DataFrame(out, columns=["bucket", "home", "entry", "v", "parts"])
 
     def to_parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             cell, entry = batch["cell"].to_numpy(), batch["entry"].to_numpy()
             part = first_slice[cell] + entry % slices[cell]
-            yield batch.assign(part=part, bucket=bucket_of[part])[["bucket", "part", "entry", "v"]]
+            yield batch.assign(part=part, bucket=bucket_of[part])[["bucket", "part", "entry", "low", "v"]]
 
     def rerank(asked: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-        out = pd.DataFrame({"query": np.array([], int), "entry": np.array([], int), "score": np.array([], float)})
+        out = pd.DataFrame({c: np.array([], int) for c in ("query", "entry", "low")} | {"score": np.array([], float)})
         if not len(asked) or not len(rows):
             return out
-        rows = rows.sort_values(["part", "entry"])
+        rows = rows.sort_values(["part", "low", "entry"])
         x, q = np.stack(rows["v"].to_list()), np.stack(asked["v"].to_list())
         x_norm, q_norm = np.sqrt((x * x).sum(axis=1)), np.sqrt((q * q).sum(axis=1))
         x_unit, q_unit = x / x_norm[:, None], q / q_norm[:, None]
-        part, entry = rows["part"].to_numpy(), rows["entry"].to_numpy()
+        part, entry, low = (rows[c].to_numpy() for c in ("part", "entry", "low"))
         names, begins = np.unique(part, return_index=True)
         ends = np.append(begins[1:], len(part))
         found = []
@@ -264,29 +269,51 @@ def nearest(
             for r, i in enumerate(some):
                 hit = np.flatnonzero((score[r] >= limit[r]) & (score[r] > -np.inf))
                 exact = (x[hit] * q[i]).sum(axis=1) / (x_norm[hit] * q_norm[i])
-                best = np.lexsort((entry[hit], -exact))[:keep]
-                found.append(
-                    pd.DataFrame({"query": asked["entry"].iat[i], "entry": entry[hit][best], "score": exact[best]})
-                )
+                best = np.lexsort((entry[hit], low[hit], -exact))[:keep]
+                kept = {"entry": entry[hit][best], "low": low[hit][best], "score": exact[best]}
+                found.append(pd.DataFrame({"query": asked["entry"].iat[i]} | kept))
         return pd.concat(found, ignore_index=True)
 
     sent = distinct.select("entry", "v").mapInPandas(
-        to_buckets, "bucket long, block long, entry long, v array<double>, parts array<long>"
+        to_buckets, "bucket long, home long, entry long, v array<double>, parts array<long>"
+    )
+    sent = materialize(sent, "visits")
+    # queries whose nearest cells lie together are one block, so that a bucket of the index
+    # goes only to the blocks that visit it; the counts are a number for each bucket
+    homes = sent.filter("bucket = home").groupBy("home").agg(F.count(F.lit(1)).alias("n")).orderBy("home").toPandas()
+    pieces = np.maximum(1, -(-homes["n"].to_numpy(np.int64) // QUERY_BLOCK))
+    size = np.repeat(homes["n"].to_numpy(np.int64) / pieces, pieces)
+    block_of = ((np.cumsum(size) - size) // QUERY_BLOCK).astype(np.int64)
+    first_piece = dict(zip(homes["home"].tolist(), (np.cumsum(pieces) - pieces).tolist()))
+    many = dict(zip(homes["home"].tolist(), pieces.tolist()))
+
+    def to_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            piece = [first_piece[h] + e % many[h] for h, e in zip(batch["home"], batch["entry"])]
+            yield batch.assign(block=block_of[np.array(piece, dtype=np.int64)]).drop(columns="home")
+
+    sent = sent.mapInPandas(to_blocks, "bucket long, entry long, v array<double>, parts array<long>, block long")
+    placed = indexed.select("entry", "low", "v", "cell").mapInPandas(
+        to_parts, "bucket long, part long, entry long, low long, v array<double>"
+    )
+    visited = sent.groupBy(F.col("bucket").alias("to_bucket"), F.col("block").alias("to_block")).agg(F.lit(1).alias("one"))
+    placed = placed.join(visited, F.col("bucket") == F.col("to_bucket")).select(
+        "bucket", F.col("to_block").alias("block"), "part", "entry", "low", "v"
     )
-    placed = indexed.select("entry", "v", "cell").mapInPandas(to_parts, "bucket long, part long, entry long, v array<double>")
-    placed = placed.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
     scored = (
         sent.groupBy("bucket", "block")
         .cogroup(placed.groupBy("bucket", "block"))
-        .applyInPandas(rerank, "query long, entry long, score double")
+        .applyInPandas(rerank, "query long, entry long, low long, score double")
     )
-    best = Window.partitionBy("query").orderBy(F.desc("score"), "entry")
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "low", "entry")
     top = scored.withColumn("nth", F.row_number().over(best)).filter(F.col("nth") <= near + 1)
-    with_ids = top.join(indexed.select("entry", "ids"), "entry").select("query", "score", F.explode("ids").alias("vec_id"))
-    pair = F.struct((-F.col("score")).alias("loss"), "vec_id")
+    with_ids = top.join(indexed.select("entry", "ids"), "entry").select(
+        "query", "score", "entry", F.explode("ids").alias("vec_id")
+    )
+    pair = F.struct((-F.col("score")).alias("loss"), "vec_id", "entry")
     lists = with_ids.groupBy("query").agg(F.sort_array(F.collect_list(pair)).alias("found"))
     answers = queries.join(entries.select("k1", "k2", "entry"), ["k1", "k2"]).join(lists, F.col("entry") == F.col("query"))
-    others = F.filter("found", lambda x: x["vec_id"] != F.col("query_id"))
+    others = F.filter("found", lambda x: (x["vec_id"] != F.col("query_id")) | (x["entry"] != F.col("query")))
     listed = answers.select("query_id", F.posexplode(F.slice(others, 1, near)).alias("pos", "hit"))
     return listed.select(
         "query_id",

@@ -62,6 +62,61 @@ def test_awkward_vectors(spark):
     compare(frame(spark, rows), asked, brute(good, 5), 5, spark)
 
 
+def brute_rows(rows, near):
+    """rows: distinct (id, vector); the answers of each row among all others of its dimension."""
+    out = {}
+    for i, v in rows:
+        found = []
+        for j, w in rows:
+            if (i, v) != (j, w) and len(v) == len(w):
+                x, y = np.array(v, dtype=np.float32).astype(float), np.array(w, dtype=np.float32).astype(float)
+                found.append((-float(x @ y / np.sqrt((x @ x) * (y @ y))), j))
+        out.setdefault(i, []).append([(j, round(-s, 9)) for s, j in sorted((round(s, 12), j) for s, j in found)[:near]])
+    return out
+
+
+def test_ids_with_several_vectors_and_dimensions(spark):
+    rng = np.random.default_rng(8)
+    rows = [(int(rng.integers(0, 25)), tuple(rng.integers(-3, 4, d).tolist())) for d in (4, 4, 4, 7) for _ in range(30)]
+    # the case of the review: an id with a far vector and one close to the query's
+    rows += [(50, (9.0, 9.0, 9.0, 9.5)), (1, (9.0, 9.0, 9.0, 9.0)), (1, (-9.0, 9.0, -9.0, 1.0)), (60, (1.0, 1.0))]
+    rows = list(dict.fromkeys((i, tuple(map(float, v))) for i, v in rows if any(v)))
+    df = frame(spark, [(i, list(v)) for i, v in rows * 2])
+    asked = [0, 5, 10, 15, 20, 50, 60]
+    got = {}
+    for r in nearest(df, spark.createDataFrame([(i,) for i in asked], "vec_id long"), 5, target=1.0).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, round(r.score, 9)))
+    want = brute_rows(rows, 5)
+    assert got[50][0][1] == 1 and 60 not in got
+    for i in asked[:-1]:
+        flat = [(k, j, s) for answer in want.get(i, []) for k, (j, s) in enumerate(answer, 1)]
+        assert sorted(k for k, _, _ in got.get(i, [])) == sorted(k for k, _, _ in flat)
+        assert sorted(s for _, _, s in got.get(i, [])) == pytest.approx(sorted(s for _, _, s in flat), abs=1e-8)
+        if len(want.get(i, [])) == 1:
+            scores = [s for _, _, s in flat]
+            sure = {j for _, j, s in flat if scores.count(s) == 1}
+            assert sure <= {j for _, j, _ in got[i]}
+
+
+def test_index_goes_only_where_it_is_visited(spark, monkeypatch):
+    """On clustered vectors a bucket of the index meets few of the query blocks."""
+    monkeypatch.setattr(multi_index, "BUCKET_ROWS", 64)
+    monkeypatch.setattr(multi_index, "QUERY_BLOCK", 40)
+    rng = np.random.default_rng(9)
+    centres = rng.normal(size=(16, 8)) * 10
+    rows = {i: (centres[i % 16] + rng.normal(size=8) * 0.01).astype(np.float32).tolist() for i in range(1600)}
+    seen = []
+    real = multi_index.materialize
+    monkeypatch.setattr(multi_index, "materialize", lambda df, name: seen.append((name, out := real(df, name))) or out)
+    asked = list(range(0, 1600, 2))
+    got = nearest(frame(spark, list(rows.items())), spark.createDataFrame([(i,) for i in asked], "vec_id long"), 5).collect()
+    assert len(got) == 5 * len(asked) and all(i.vec_id % 16 == i.query_id % 16 for i in got)
+    visits = dict(seen)["visits"]
+    buckets = visits.select("bucket").distinct().count()
+    blocks = visits.select("home").distinct().count()
+    assert buckets > 12 and visits.select("bucket", "home").distinct().count() < buckets * blocks / 3
+
+
 def test_slices_and_blocks_give_the_same(spark, monkeypatch):
     monkeypatch.setattr(multi_index, "BUCKET_ROWS", 16)
     monkeypatch.setattr(multi_index, "QUERY_BLOCK", 7)
