@@ -37,7 +37,8 @@ CELLS = 1 << 18
 LEADERS = 4
 # Holders of one shingle in one comparison; more are cut into slices.
 SLICE_ROWS = 2048
-BUCKETS = 256
+# Rows that one worker compares at a time, about.
+BUCKET_ROWS = 1 << 13
 # Bits of the map of sets that are asked for; it saves shuffling the others.
 WANTED = 1 << 22
 
@@ -204,7 +205,7 @@ def _verified(pairs: DataFrame, marked: DataFrame, texts: DataFrame) -> DataFram
 
 
 def _sliced(held: DataFrame) -> DataFrame:
-    """Rows with a `part` and its `bucket`; every two holders of a shingle meet in a part."""
+    """Rows with a `part`; every two holders of a shingle meet in a part."""
     crowd = held.groupBy("shingle").agg(F.ceil(F.count(F.lit(1)) / SLICE_ROWS).cast("int").alias("slices"))
     slices = F.coalesce("slices", F.lit(1))
     own = F.pmod(F.xxhash64("node"), slices).cast("int")
@@ -212,7 +213,13 @@ def _sliced(held: DataFrame) -> DataFrame:
         "shingle", "node", "root", "place", "size", own.alias("own"), F.explode(F.sequence(F.lit(0), slices - 1)).alias("other")
     )
     part = F.xxhash64("shingle", F.least("own", "other"), F.greatest("own", "other"))
-    return rows.select(part.alias("part"), F.pmod(part, F.lit(BUCKETS)).alias("bucket"), "node", "root", "place", "size")
+    return rows.select(part.alias("part"), "node", "root", "place", "size")
+
+
+def _in_buckets(rows: DataFrame) -> DataFrame:
+    """Parts gathered to buckets of about BUCKET_ROWS rows, as many as the rows need."""
+    buckets = max(1, -(-rows.count() // BUCKET_ROWS))
+    return rows.withColumn("bucket", F.pmod(F.xxhash64("part"), F.lit(buckets)))
 
 
 def near_groups(docs: DataFrame) -> DataFrame:
@@ -222,6 +229,11 @@ def near_groups(docs: DataFrame) -> DataFrame:
     have a Jaccard similarity of at least 0.8. Words are those of SimHash. Texts
     without words have one root; equal texts are always together; repeated rows stay.
 
+    Null and empty texts, and texts of blanks, have no words; texts of fewer words than a
+    shingle are equal or apart. A null id is an id like any other, and repeated ids or rows are rows of
+    their own. Texts are read whole, however long. Other columns are not
+    read; an empty table gives no rows.
+
     Holders of a rare shingle are first compared with a few of them, which joins most
     of a large group of copies; then all holders that are still apart with each other.
     """
@@ -250,7 +262,7 @@ def near_groups(docs: DataFrame) -> DataFrame:
     rooted = held.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     apart = rooted.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
     rest = _sliced(materialize(rooted.join(apart, "shingle", "left_semi"), "apart"))
-    pairs = rest.groupBy("bucket").applyInPandas(_pairs, "a long, b long").distinct()
+    pairs = _in_buckets(rest).groupBy("bucket").applyInPandas(_pairs, "a long, b long").distinct()
     more = _verified(materialize(pairs, "pairs"), marked, texts)
     roots = component_roots(links.unionByName(more))
     return marked.join(roots, "node", "left").select("doc_id", "k1", "k2", F.coalesce("root", "node").alias("root"))

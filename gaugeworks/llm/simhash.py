@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 from gaugeworks.llm.common import query, small_batches, table, text_key
 from gaugeworks.llm.components import component_roots
+from gaugeworks.operators.dedup import row_hash
 from gaugeworks.session import materialize
 
 BITS = 64
@@ -263,10 +264,11 @@ def keep_first(docs: DataFrame, groups: DataFrame) -> DataFrame:
     kept = groups.groupBy("root").agg(first).select("first.*")
     kept = kept.select(F.col("doc_id").alias("kept_id"), "k1", "k2")
     k1, k2 = text_key(F.col("text"))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), k1.alias("k1"), k2.alias("k2"))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = docs.select(whole, k1.alias("k1"), k2.alias("k2"), row_hash(docs).alias("tie"))
     same = (rows.k1 == kept.k1) & (rows.k2 == kept.k2) & rows["row.doc_id"].eqNullSafe(kept.kept_id)
     stay = rows.join(kept, same, "left_semi").withColumn("id", F.col("row.doc_id"))
-    order = [F.xxhash64("row"), *[F.col(f"row.`{f.name}`") for f in docs.schema.fields if f.name in ("lang", "source")]]
+    order = ["tie", *[F.col(f"row.`{f.name}`") for f in docs.schema.fields if f.name in ("lang", "source")]]
     alone = Window.partitionBy("k1", "k2", "id").orderBy(*order)
     return stay.withColumn("nth", F.row_number().over(alone)).filter("nth = 1").select("row.*")
 

@@ -146,7 +146,7 @@ def filter_urls(
 
 
 # Host labels whose URLs make up the list of the registered query.
-BAD_LABELS = ["adult-x", "casino-win", "free-bets", "spam-farm"]
+BAD_LABELS = ["ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm"]
 
 
 def bad_urls(pages: DataFrame) -> DataFrame:
@@ -182,7 +182,7 @@ keyed AS (
   FROM parts),
 bad AS (
   SELECT DISTINCT key FROM keyed
-  WHERE len(list_intersect(string_split(host, '.'), ['adult-x', 'casino-win', 'free-bets', 'spam-farm'])) > 0)
+  WHERE len(list_intersect(string_split(host, '.'), ['ads-track', 'adult-x', 'casino-win', 'cheap-pills', 'free-bets', 'spam-farm'])) > 0)
 SELECT page_id, host, path, rule,
        CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow'
             WHEN rule IS NOT NULL THEN 'block'

@@ -3,6 +3,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from fixtures import awkward, docs_of, nothing
 from gaugeworks.llm import jaccard
 from gaugeworks.llm.jaccard import keep_one_per_group, near_groups
@@ -69,6 +70,17 @@ def test_stage_drops_copies_with_a_changed_word(spark):
     assert sorted(r.doc_id for r in got.collect()) == [0, len(copies) + 1]
 
 
+def test_any_number_of_buckets_and_odd_columns(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BUCKET_ROWS", 5)
+    monkeypatch.setattr(jaccard, "LEADERS", 1)
+    texts = planted(5)
+    assert found(spark, texts) == groups_of(texts)
+    docs = docs_of(spark, [(i // 2, t) for i, t in enumerate(texts[:30] * 2)])
+    docs = docs.withColumns({"tags": F.create_map(F.lit("a"), F.lit(1)), "list": F.array(F.lit(None).cast("int"))})
+    kept = keep_one_per_group(docs)
+    assert kept.columns == docs.columns and kept.count() == len(groups_of(texts[:30]))
+
+
 def test_awkward_rows(spark):
     docs = awkward(spark)
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]

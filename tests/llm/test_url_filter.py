@@ -81,3 +81,11 @@ def test_empty(spark):
     df = pages(spark).filter("page_id < 0")
     assert filter_urls(df, bad_urls(df), RULES).count() == 0
     assert filter_urls(pages(spark), df, RULES).filter("is_listed").count() == 0
+
+
+def test_every_bad_label_lists_its_urls(spark):
+    hosts = ["ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm", "garden"]
+    rows = [(i, f"https://{h}.example.org/en/{i}") for i, h in enumerate(hosts)]
+    df = spark.createDataFrame(rows, "page_id long, url string")
+    got = {r.page_id: r.verdict for r in filter_urls(df, bad_urls(df), RULES).collect()}
+    assert got == {i: "allow" if h == "garden" else "block" for i, h in enumerate(hosts)}
