@@ -126,3 +126,12 @@ def test_one_of_repeated_rows_stays(spark):
 def test_empty(spark):
     assert near_groups(nothing(spark)).count() == 0
     assert keep_one_per_group(nothing(spark)).count() == 0
+
+
+def test_one_row_stays_whatever_its_columns_are(spark):
+    from pyspark.sql import functions as F
+
+    docs = docs_of(spark, [(1, PROSE), (1, PROSE), (2, PROSE), (None, PROSE), (3, "another text of its own")])
+    docs = docs.withColumns({"tags": F.create_map(F.lit("a"), F.lit(1)), "list": F.array(F.lit(None).cast("int"))})
+    kept = keep_one_per_group(docs)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 3]
