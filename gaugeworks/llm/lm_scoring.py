@@ -21,6 +21,9 @@ from gaugeworks.session import materialize
 
 # The part of all ids that stands for words beyond the most frequent ones, by hash.
 RARE_PART = 16
+# So many of the most frequent words beyond have their share of an id looked up while words are
+# numbered; all further words are joined. The bound saves work and changes no result.
+NAMED = 1 << 16
 # Tokens that a partition learns from, for each id; smaller partitions are put together.
 TOKENS_PER_ID = 256
 # Passes over the corpus, and the share of all tokens that each masks and learns from:
@@ -84,17 +87,35 @@ def rare_words(counts: DataFrame, known: dict[str, int], n: np.ndarray) -> DataF
     return marked.filter((F.col("n") < least) | ((F.col("n") == least) & (F.col("word") > last)))
 
 
+def word_shares(rare: DataFrame) -> tuple[DataFrame, dict[str, float]]:
+    """(word, share) of rare words, the log of a word's part of all words of its id; and the shares
+    of the NAMED most frequent ones by word.
+    """
+    of_id = rare.groupBy("id").agg(F.sum("n").alias("all"))
+    # no more rows than ids, whatever the corpus
+    shares = rare.join(F.broadcast(of_id), "id").select("word", "n", F.log(F.col("n") / F.col("all")).alias("share"))
+    top = shares.orderBy(F.desc("n"), "word").limit(NAMED).collect()
+    return shares.select("word", "share"), {r.word: r.share for r in top}
+
+
 def _kind(ids: int) -> str:
     """How ids are stored."""
     return "<u2" if ids <= 1 << 16 else "<u4"
 
 
 def encoded(
-    docs: DataFrame, known: dict[str, int], id_col: str, text_col: str, ids_in_all: int = model.SMALL.vocabulary
+    docs: DataFrame,
+    known: dict[str, int],
+    id_col: str,
+    text_col: str,
+    ids_in_all: int = model.SMALL.vocabulary,
+    named: dict[str, float] | None = None,
 ) -> DataFrame:
-    """(doc_id, ids, row, words, times): the word ids of each whole text as numbers of 16 or 32 bits,
-    a number of the row, and its rare words with their counts; written once.
+    """(doc_id, ids, row, within, words, times): the word ids of each whole text as numbers of 16 or 32
+    bits, a number of the row, the sum of the `named` shares of its rare words, and its other rare
+    words with their counts; written once.
     """
+    named = named or {}
     rare_ids = ids_in_all // RARE_PART
     first_rare, kind = ids_in_all - rare_ids, _kind(ids_in_all)
 
@@ -109,8 +130,10 @@ def encoded(
                 of = [known[w] if w in known else first_rare + zlib.crc32(w.encode()) % rare_ids for w in names]
                 ids = np.array(of, dtype=kind)[indices]
                 ends = np.cumsum(lengths)
-                rare = ids >= first_rare
+                share = np.array([0.0 if i < first_rare else named.get(w, np.nan) for w, i in zip(names, of)])[indices]
+                rare = np.isnan(share)
                 owner = np.repeat(np.arange(len(lengths)), lengths)
+                within = np.bincount(owner, np.where(rare, 0.0, share), len(lengths))
                 own, times = np.unique(owner[rare] * max(len(names), 1) + indices[rare], return_counts=True)
                 cuts = np.searchsorted(own // max(len(names), 1), np.arange(len(lengths) + 1)).astype(np.int32)
                 found = coded.dictionary.take(pa.array(own % max(len(names), 1))).cast(pa.string())
@@ -119,11 +142,12 @@ def encoded(
                 cells = [ids[e - n : e].tobytes() for e, n in zip(ends, lengths)]
                 doc_ids = batch.column("doc_id").slice(first, last - first)
                 lists = [pa.ListArray.from_arrays(cuts, found), pa.ListArray.from_arrays(cuts, pa.array(times.astype(np.int64)))]
-                columns = [doc_ids, pa.array(cells, pa.binary()), rows, *lists]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "row", "words", "times"])
+                columns = [doc_ids, pa.array(cells, pa.binary()), rows, pa.array(within), *lists]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "row", "within", "words", "times"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return materialize(rows.mapInArrow(encode, "doc_id long, ids binary, row long, words array<string>, times array<long>"), "word-ids")
+    schema = "doc_id long, ids binary, row long, within double, words array<string>, times array<long>"
+    return materialize(rows.mapInArrow(encode, schema), "word-ids")
 
 
 def _texts(batch: pa.RecordBatch, net: model.Net) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -162,7 +186,7 @@ def _learn(flat: np.ndarray, net: model.Net, seed: int, turn: float, masked_shar
                 near = model.contexts(ids, ends, net)
                 for start in range(0, len(masked), net.minibatch):
                     some = masked[start : start + net.minibatch]
-                    learner.step(ids[some], near[:, some])
+                    learner.step(ids[some], near.take(some, axis=1))
                 learned += len(masked)
         if learned:
             chunks = [learner.flat[i : i + CHUNK].astype("<f8") * learned for i in range(0, net.size, CHUNK)]
@@ -239,7 +263,8 @@ def score_documents(
     counts = materialize(word_counts(docs, text_col), "word-counts")
     known, n = vocabulary(counts)
     net = model.Net.of_ids(len(n))
-    ids = encoded(docs, known, id_col, text_col, len(n))
+    shares, named = word_shares(rare_words(counts, known, n))
+    ids = encoded(docs, known, id_col, text_col, len(n), named)
     flat = train(ids.select("ids"), n, rounds, masked_share)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,14 +275,11 @@ def score_documents(
                 starts = np.concatenate(([0], ends[:-1]))
                 lengths = ends - starts
                 total = np.where(lengths > 0, sums[ends] - sums[starts], 0.0)
-                named = [batch.column(c).slice(first, last - first) for c in ("row", "doc_id")]
-                columns = [*named, pa.array(lengths), pa.array(total)]
+                row, doc_id, within = (batch.column(c).slice(first, last - first) for c in ("row", "doc_id", "within"))
+                columns = [row, doc_id, pa.array(lengths), pa.array(total + within.to_numpy())]
                 yield pa.RecordBatch.from_arrays(columns, ["row", "doc_id", "n_tokens", "by_id"])
 
-    scored = ids.select("row", "doc_id", "ids").mapInArrow(score, "row long, doc_id long, n_tokens long, by_id double")
-    rare = rare_words(counts, known, n)
-    of_id = rare.groupBy("id").agg(F.sum("n").alias("all"))
-    shares = rare.join(of_id, "id").select("word", F.log(F.col("n") / F.col("all")).alias("share"))
+    scored = ids.select("row", "doc_id", "ids", "within").mapInArrow(score, "row long, doc_id long, n_tokens long, by_id double")
     held = ids.select("row", F.explode(F.arrays_zip("words", "times")).alias("w"))
     held = held.select("row", F.col("w.words").alias("word"), F.col("w.times").alias("times"))
     within = held.join(shares, "word").groupBy("row").agg(F.sum(F.col("times") * F.col("share")).alias("within"))

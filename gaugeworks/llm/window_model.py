@@ -17,6 +17,10 @@ WIDTH = 16
 # The fewest ids, and the ids for the square root of a corpus's tokens.
 LEAST_IDS = 4096
 IDS_PER_ROOT = 1 / 4
+# Tokens whose logits are held at a time: blocks that stay in the processor's cache.
+BLOCK = 1024
+# Logits within this bound need no shift before they are exponentiated in 32 bits.
+SAFE = 60.0
 
 
 @dataclass(frozen=True)
@@ -99,7 +103,7 @@ def contexts(ids: np.ndarray, bounds: np.ndarray, net: Net = SMALL) -> np.ndarra
     start = np.repeat(bounds - lengths, lengths)
     end = np.repeat(bounds, lengths)
     at = np.arange(len(ids))
-    out = np.full((len(OFFSETS), len(ids)), net.edge, dtype=np.int64)
+    out = np.full((len(OFFSETS), len(ids)), net.edge, dtype=np.int32)
     for row, offset in enumerate(OFFSETS):
         there = at + offset
         inside = (there >= start) & (there < end)
@@ -108,50 +112,80 @@ def contexts(ids: np.ndarray, bounds: np.ndarray, net: Net = SMALL) -> np.ndarra
 
 
 def _hidden(p: dict[str, np.ndarray], near: np.ndarray) -> np.ndarray:
-    total = p["hidden"] + p["inputs"][0][near[0]]
+    total = np.take(p["inputs"][0], near[0], axis=0, mode="clip")
     for row in range(1, len(OFFSETS)):
-        total += p["inputs"][row][near[row]]
-    return np.tanh(total)
+        total += np.take(p["inputs"][row], near[row], axis=0, mode="clip")
+    total += p["hidden"]
+    return np.tanh(total, out=total)
 
 
-def _by_class(ids: np.ndarray, net: Net):
-    """The order of tokens by class, and (class, from, to) in that order."""
-    kinds = ids // net.members
+def _by_class(ids: np.ndarray, net: Net) -> tuple[np.ndarray, np.ndarray]:
+    """The order of tokens by class, and where each class starts in that order (and the last ends)."""
+    kinds = (ids // net.members).astype(np.uint16 if net.classes <= 1 << 16 else np.int64)
     order = np.argsort(kinds, kind="stable")
-    edges = np.searchsorted(kinds[order], np.arange(net.classes + 1))
-    return order, [(c, edges[c], edges[c + 1]) for c in range(net.classes) if edges[c] < edges[c + 1]]
+    return order, np.searchsorted(kinds[order], np.arange(net.classes + 1))
 
 
-def _log_share(z: np.ndarray, of: np.ndarray | int) -> np.ndarray:
-    """The log of the softmax of each row, at one column."""
-    z -= z.max(axis=1, keepdims=True)
-    own = z[np.arange(len(z)), of]
-    np.exp(z, out=z)
-    return own - np.log(z @ np.ones(z.shape[1], dtype=z.dtype))
+def _blocks(first: int, last: int):
+    for a in range(first, last, BLOCK):
+        yield a, min(a + BLOCK, last)
+
+
+class _Softmax:
+    """Softmax of one layer over hidden values, a block at a time in one piece of memory."""
+
+    def __init__(self, net: Net):
+        self.room = np.empty(BLOCK * max(net.classes, net.members), dtype=np.float32)
+        self.ones = np.ones(max(BLOCK, net.classes, net.members), dtype=np.float32)
+
+    @staticmethod
+    def in_range(weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
+        """Whether no logit can grow too large, as hidden values lie between -1 and 1."""
+        return (np.abs(weights).sum(axis=-1) + np.abs(bias)).max(axis=-1) < SAFE
+
+    def logits(self, h: np.ndarray, weights: np.ndarray, bias: np.ndarray, safe: bool) -> np.ndarray:
+        z = self.room[: len(h) * len(weights)].reshape(len(h), len(weights))
+        np.matmul(h, weights.T, out=z)
+        z += bias
+        if not safe:
+            z -= z.max(axis=1, keepdims=True)
+        return z
+
+    def log_share(self, z: np.ndarray, of: np.ndarray | int) -> np.ndarray:
+        """The log of the softmax of each row of logits, at one column."""
+        own = z[np.arange(len(z)), of]
+        np.exp(z, out=z)
+        return own - np.log(z @ self.ones[: z.shape[1]])
+
+    def error(self, z: np.ndarray, of: np.ndarray | int, n: int) -> np.ndarray:
+        """The gradient of the loss by the logits, in their place; the loss is a mean over n tokens."""
+        np.exp(z, out=z)
+        z *= (1 / (n * (z @ self.ones[: z.shape[1]])))[:, None]
+        z[np.arange(len(z)), of] -= np.float32(1 / n)
+        return z
 
 
 def log_probabilities(flat: np.ndarray, ids: np.ndarray, near: np.ndarray, net: Net = SMALL) -> np.ndarray:
     """Log-probability of each token given its neighbours."""
-    p = views(flat, net)
+    p, soft = views(flat, net), _Softmax(net)
+    wide = bool(soft.in_range(p["classes"], p["class_bias"]))
+    safe = soft.in_range(p["members"], p["member_bias"])
     out = np.empty(len(ids))
-    order, groups = _by_class(ids, net)
-    h = _hidden(p, near[:, order])
-    own = ids[order] % net.members
-    for c, a, b in groups:
-        part = h[a:b]
-        upper = _log_share(part @ p["classes"].T + p["class_bias"], c)
-        lower = _log_share(part @ p["members"][c].T + p["member_bias"][c], own[a:b])
-        out[order[a:b]] = upper + lower
+    order, edges = _by_class(ids, net)
+    for first, last in _blocks(0, len(ids)):
+        rows = order[first:last]
+        kinds, own = np.divmod(ids[rows], net.members)
+        h = _hidden(p, near.take(rows, axis=1))
+        logs = soft.log_share(soft.logits(h, p["classes"], p["class_bias"], wide), kinds)
+        for c in range(kinds[0], kinds[-1] + 1):
+            a, b = max(edges[c] - first, 0), min(edges[c + 1] - first, last - first)
+            if a < b:
+                z = soft.logits(h[a:b], p["members"][c], p["member_bias"][c], safe[c])
+                logs[a:b] += soft.log_share(z, own[a:b])
+        out[rows] = logs
     return out
 
 
-def _softmax(z: np.ndarray) -> np.ndarray:
-    z -= z.max(axis=1, keepdims=True)
-    np.exp(z, out=z)
-    z /= (z @ np.ones(z.shape[1], dtype=z.dtype))[:, None]
-    return z
-
-
 class Learner:
     """Adagrad over minibatches, from given parameters; only the classes of a minibatch are updated."""
 
@@ -160,42 +194,57 @@ class Learner:
         self.net, self.rate = net, rate
         self.p = views(self.flat, net)
         self.seen = views(np.full_like(self.flat, 1e-4), net)
+        self.soft = _Softmax(net)
+        # memory of a minibatch: new large arrays at every step cost more than the sums in them
+        self.rooms = np.empty((3, net.minibatch, WIDTH), dtype=np.float32)
 
     def gradient(self, ids: np.ndarray, near: np.ndarray) -> list[tuple[str, tuple, np.ndarray]]:
         """Of the mean loss, by parameter: (name, what part of it, gradient); elsewhere it is zero."""
-        p, net, n = self.p, self.net, len(ids)
-        order, groups = _by_class(ids, net)
-        ids, near = ids[order], near[:, order]
-        h = _hidden(p, near)
-        rows = np.arange(n)
-        error = _softmax(h @ p["classes"].T + p["class_bias"])
-        error[rows, ids // net.members] -= 1
-        error /= n
-        out = [("classes", (...,), error.T @ h), ("class_bias", (...,), error.sum(axis=0))]
-        back = error @ p["classes"]
-        own = ids % net.members
-        for c, a, b in groups:
-            part = h[a:b]
-            wrong = _softmax(part @ p["members"][c].T + p["member_bias"][c])
-            wrong[rows[: b - a], own[a:b]] -= 1
-            wrong /= n
-            out += [("members", (c,), wrong.T @ part), ("member_bias", (c,), wrong.sum(axis=0))]
-            back[a:b] += wrong @ p["members"][c]
-        back *= 1 - h * h
+        p, net, soft, n = self.p, self.net, self.soft, len(ids)
+        order, edges = _by_class(ids, net)
+        ids, near = ids[order], near.take(order, axis=1)
+        kinds, own = np.divmod(ids, net.members)
+        if n > self.rooms.shape[1]:
+            self.rooms = np.empty((3, n, WIDTH), dtype=np.float32)
+        h, back, by_id = self.rooms[:, :n]
+        safe = bool(soft.in_range(p["classes"], p["class_bias"]))
+        upper, upper_bias = np.zeros_like(p["classes"]), np.zeros_like(p["class_bias"])
+        for a, b in _blocks(0, n):
+            h[a:b] = _hidden(p, near[:, a:b])
+            wrong = soft.error(soft.logits(h[a:b], p["classes"], p["class_bias"], safe), kinds[a:b], n)
+            upper += wrong.T @ h[a:b]
+            upper_bias += soft.ones[: b - a] @ wrong
+            np.matmul(wrong, p["classes"], out=back[a:b])
+        out = [("classes", (...,), upper), ("class_bias", (...,), upper_bias)]
+        there = np.flatnonzero(np.diff(edges))
+        safe = soft.in_range(p["members"][there], p["member_bias"][there])
+        for c, within in zip(there, safe):
+            weights, bias = p["members"][c], p["member_bias"][c]
+            lower, lower_bias = 0, 0
+            for a, b in _blocks(edges[c], edges[c + 1]):
+                wrong = soft.error(soft.logits(h[a:b], weights, bias, within), own[a:b], n)
+                lower = lower + wrong.T @ h[a:b]
+                lower_bias = lower_bias + soft.ones[: b - a] @ wrong
+                back[a:b] += wrong @ weights
+            out += [("members", (c,), lower), ("member_bias", (c,), lower_bias)]
+        h *= h
+        back *= np.subtract(1, h, out=h)
         out.append(("hidden", (...,), back.sum(axis=0)))
-        # sums for each place and id, a column at a time
-        wide = np.ascontiguousarray(back.T)
-        sums = np.empty((len(OFFSETS), net.vocabulary + 1, WIDTH), dtype=np.float32)
+        # sums for each place and id that occurs there
         for row in range(len(OFFSETS)):
-            for column in range(WIDTH):
-                sums[row, :, column] = np.bincount(near[row], wide[column], net.vocabulary + 1)
-        out.append(("inputs", (...,), sums))
+            at = near[row].astype(np.uint16) if net.edge < 1 << 16 else near[row]
+            order = np.argsort(at, kind="stable")
+            at = at[order]
+            first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
+            np.take(back, order, axis=0, out=by_id, mode="clip")
+            out.append(("inputs", (row, at[first]), np.add.reduceat(by_id, first, axis=0)))
         return out
 
     def step(self, ids: np.ndarray, near: np.ndarray) -> None:
         for name, part, g in self.gradient(ids, near):
-            values, seen = self.p[name][part], self.seen[name][part]
+            seen = self.seen[name][part]
             seen += g * g
+            self.seen[name][part] = seen
             g *= self.rate
             g /= np.sqrt(seen)
-            values -= g
+            self.p[name][part] -= g

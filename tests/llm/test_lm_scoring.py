@@ -3,6 +3,7 @@ import zlib
 import numpy as np
 import pytest
 from fixtures import awkward, docs_of, nothing
+from gaugeworks.llm import lm_scoring
 from gaugeworks.llm import window_model as model
 from gaugeworks.llm.lm_scoring import MASKED_SHARE, ROUNDS, encoded, masked_tokens, score_documents, train, vocabulary, word_counts
 from pyspark.sql import functions as F
@@ -35,6 +36,21 @@ def test_probabilities_against_a_plain_version():
         start = end
 
 
+def test_large_weights_are_shifted_into_range():
+    r = np.random.default_rng(4)
+    flat = model.initial(np.ones(NET.vocabulary))
+    for name in ("classes", "members"):
+        model.views(flat)[name][...] *= 200
+    ids = r.integers(0, NET.vocabulary, 3000)
+    near = model.contexts(ids, np.array([3000]))
+    got = model.log_probabilities(flat, ids, near)
+    for i in (0, 5, 2999):
+        assert got[i] == pytest.approx(plain_probability(flat, ids, i, 0, 3000), rel=1e-3)
+    learner = model.Learner(flat)
+    learner.step(ids, near)
+    assert np.isfinite(learner.flat).all()
+
+
 def test_gradient_lowers_the_loss_it_belongs_to():
     r = np.random.default_rng(1)
     ids = np.tile(np.array([3, 70, 900, 4000]), 300)
@@ -127,7 +143,9 @@ def test_the_passes_learn_from_every_token():
     assert 2300 < masked_tokens(ids, ends, 0, MASKED_SHARE).sum() < 2700
 
 
-def test_rare_words_of_one_id_keep_their_own_share(spark):
+@pytest.mark.parametrize("named", [1 << 16, 1, 0])
+def test_rare_words_of_one_id_keep_their_own_share(spark, monkeypatch, named):
+    monkeypatch.setattr(lm_scoring, "NAMED", named)  # the others are joined
     common = [f"c{i}" for i in range(3840)]
     rare = [w for w in (f"r{i}" for i in range(4000)) if zlib.crc32(w.encode()) % 256 == 7][:2]
     texts = [" ".join(common)] * 9 + [f"c0 {rare[0]} c1", f"c0 {rare[1]} c1", rare[0], f"c0 {rare[1]} {rare[1]} c1 " * 2]
