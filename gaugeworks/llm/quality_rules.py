@@ -21,6 +21,8 @@ MAX_REPEAT_PERCENT = 30
 MIN_CONTENT_SHARE = 0.5
 # Bound of the labelled documents that the field is fitted on (a documented parameter).
 MAX_TRAIN_DOCS = 3_000
+# Bound of the lines of such a document: of a longer one a run of so many from a place set by its id.
+MAX_TRAIN_LINES = 100
 
 SYMBOLS = np.zeros(256, dtype=bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
@@ -139,9 +141,10 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAIN_DOCS) ->
     """Fit the field on at most `max_docs` labelled documents, half of each quality where there are.
 
     Lines have no labels of their own: all lines of a document of quality 1 count as
-    content, those of quality 0 as boilerplate. The documents are those of the
-    smallest id hashes among the ones that are not held out; only they are fetched,
-    as features of their lines.
+    content, those of quality 0 as boilerplate. So that the field sees where one turns into
+    the other, documents of both kinds are also put into each other (`spliced`). The documents
+    are those of the smallest id hashes among the ones that are not held out; only they are
+    fetched, as features of at most MAX_TRAIN_LINES consecutive lines.
     """
     known = labels.filter(~held_out(F.col("doc_id")) & F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
     known = known.groupBy("doc_id").agg(F.max("quality").alias("quality"))
@@ -156,21 +159,40 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAIN_DOCS) ->
                 part = batch.slice(first, last - first)
                 scan = TextScan(part.column("text"))
                 x = line_features(scan).astype(np.uint8)
-                cells = [x[a:b].tobytes() for a, b in zip(scan.doc_line, scan.doc_line[1:])]
+                cells = []
+                for start, a, b in zip(part.column("start").to_pylist(), scan.doc_line, scan.doc_line[1:]):
+                    a += start % max(b - a - MAX_TRAIN_LINES + 1, 1)
+                    cells.append(x[a : min(b, a + MAX_TRAIN_LINES)].tobytes())
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("quality"), pa.array(cells, pa.binary())], ["doc_id", "quality", "x"]
                 )
 
+    one = one.withColumn("start", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)))
     rows = one.mapInArrow(features, f"doc_id {dict(docs.dtypes)['doc_id']}, quality int, x binary").collect()
     rows.sort(key=lambda r: r.doc_id)
     width = line_features(TextScan(pa.array([""]))).shape[1]
     x = [np.frombuffer(r.x, dtype=np.uint8).reshape(-1, width) for r in rows]
     if len({r.quality for r in rows}) < 2:
         return Chain(np.eye(1, width).ravel(), np.zeros((2, 2)))  # nothing to tell apart: all lines are content
-    y = [np.full(len(v), r.quality) for v, r in zip(x, rows)]
+    x, y = spliced(*([v for v, r in zip(x, rows) if r.quality == q] for q in (0, 1)))
     return fit(np.concatenate(x).astype(float), np.concatenate(y), np.cumsum([len(v) for v in x]))
 
 
+def spliced(bad: list[np.ndarray], good: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Lines and labels of all documents, and of pairs in which a good document stands inside a bad one
+    or the other way round, in turn; the place is drawn with a fixed seed.
+    """
+    draw = np.random.default_rng(6)
+    x, y = [*bad, *good], [np.full(len(v), label) for label, docs in enumerate((bad, good)) for v in docs]
+    for i, pair in enumerate(zip(bad, good)):
+        inner = i % 2
+        outer, put = pair[1 - inner], pair[inner]
+        at = int(draw.integers(0, len(outer) + 1))
+        x.append(np.concatenate([outer[:at], put, outer[at:]]))
+        y.append(np.repeat([1 - inner, inner, 1 - inner], [at, len(put), len(outer) - at]))
+    return x, y
+
+
 RESULT = (
     "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
     "content_words long, base_failed boolean, kept boolean"

@@ -8,10 +8,11 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from fixtures import PROSE, awkward, docs_of, nothing
-from gaugeworks.llm import boosting, crf
-from gaugeworks.llm.quality_classifier import keep_good, op5_quality_classifier, score_quality, statistics
-from gaugeworks.llm.quality_rules import apply_rules, base_counts, line_features, op6_quality_rules, train
+from gaugeworks.llm import boosting, crf, quality_rules
+from gaugeworks.llm.quality_classifier import held_out, keep_good, op5_quality_classifier, score_quality, statistics
+from gaugeworks.llm.quality_rules import apply_rules, base_counts, line_features, op6_quality_rules, spliced, train
 from gaugeworks.llm.scan import TextScan, byte_slices
+from pyspark.sql import functions as F
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -147,3 +148,37 @@ def test_rules_keep_clean_documents(spark):
     labels = [x for x in spark.read.parquet(f"{FOLDER}/labels.parquet").collect() if not got[x.doc_id].base_failed]
     assert np.mean([got[x.doc_id].kept for x in labels if x.quality == 1]) > 0.98
     assert np.mean([got[x.doc_id].kept for x in labels if x.quality == 0]) < 0.2
+
+
+def test_a_mixed_text_is_parted_by_lines(spark):
+    docs, labels = spark.read.parquet(f"{FOLDER}/documents.parquet"), spark.read.parquet(f"{FOLDER}/labels.parquet")
+    chain = train(docs, labels)
+    assert chain.moves[0, 0] > chain.moves[0, 1] and chain.moves[1, 1] > chain.moves[1, 0]
+    rows = labels.filter(held_out(F.col("doc_id"))).join(docs, "doc_id").filter("length(text) > 0").orderBy("doc_id").collect()
+    # repeated texts are the base rule's, whatever the field says
+    counts = [(r, *brute_counts(r.text)) for r in rows]
+    good, bad = ([r.text for r, n, *_, repeated in counts if r.quality == q and 100 * repeated <= 30 * n] for q in (1, 0))
+    pairs = list(zip(good, bad))
+    assert len(pairs) > 5
+    for texts, kinds in (([f"{g}\n{b}" for g, b in pairs], (1, 0)), ([f"{b}\n{g}" for g, b in pairs], (0, 1))):
+        scan = TextScan(pa.array(texts))
+        got = chain.viterbi(line_features(scan), scan.doc_line[1:])
+        lines = [[t.count("\n") + 1 for t in (pair if kinds[0] else pair[::-1])] for pair in pairs]
+        want = np.repeat(np.tile(kinds, len(pairs)), np.concatenate(lines))
+        assert got[want == 1].mean() > 0.9 and got[want == 0].mean() < 0.15
+
+
+def test_training_sequences():
+    bad, good = [np.zeros((3, 1)), np.zeros((2, 1))], [np.ones((4, 1)), np.ones((0, 1)), np.ones((1, 1))]
+    x, y = spliced(bad, good)
+    assert [len(v) for v in x] == [3, 2, 4, 0, 1, 7, 2]
+    assert all((a[:, 0] == b).all() for a, b in zip(x, y))
+
+
+def test_training_takes_a_bounded_run_of_lines(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality_rules, "fit", lambda x, y, bounds: seen.append((len(x), bounds.tolist())))
+    docs = docs_of(spark, [(i, "a line of text\n" * (5000 if i < 2 else 3)) for i in range(8)])
+    train(docs, labels_of(spark, [(i, i % 2, 0) for i in range(8)]))
+    lines = np.diff([0, *seen[0][1]])
+    assert seen[0][0] == lines.sum() and lines.max() <= 2 * quality_rules.MAX_TRAIN_LINES
