@@ -123,7 +123,7 @@ def encoded(
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
             texts = batch.column("text")
-            for first, last in byte_slices(texts):
+            for first, last in byte_slices(texts, COUNT_BYTES):
                 words, lengths = split_words(texts.slice(first, last - first))
                 coded = words.dictionary_encode()
                 names, indices = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
@@ -183,10 +183,10 @@ def _learn(flat: np.ndarray, net: model.Net, seed: int, turn: float, masked_shar
             for first, _, ids, ends in _texts(batch, net):
                 draw = np.random.default_rng([seed, learned, len(ids)])
                 masked = draw.permutation(np.flatnonzero(masked_tokens(ids, ends, turn, masked_share)))
-                near = model.contexts(ids, ends, net)
+                own, near = ids[masked], model.contexts(ids, ends, net, masked)
                 for start in range(0, len(masked), net.minibatch):
-                    some = masked[start : start + net.minibatch]
-                    learner.step(ids[some], near.take(some, axis=1))
+                    some = slice(start, start + net.minibatch)
+                    learner.step(own[some], near[:, some])
                 learned += len(masked)
         if learned:
             chunks = [learner.flat[i : i + CHUNK].astype("<f8") * learned for i in range(0, net.size, CHUNK)]

@@ -97,17 +97,16 @@ def initial(counts: np.ndarray, seed: int = 5) -> np.ndarray:
     return flat
 
 
-def contexts(ids: np.ndarray, bounds: np.ndarray, net: Net = SMALL) -> np.ndarray:
-    """For each token the ids at OFFSETS in its own text; `bounds` holds the texts' ends."""
+def contexts(ids: np.ndarray, bounds: np.ndarray, net: Net = SMALL, of: np.ndarray | None = None) -> np.ndarray:
+    """For each token, or the tokens `of`, the ids at OFFSETS in its own text; `bounds` holds the texts' ends."""
     lengths = np.diff(np.concatenate(([0], bounds)))
-    start = np.repeat(bounds - lengths, lengths)
-    end = np.repeat(bounds, lengths)
-    at = np.arange(len(ids))
-    out = np.full((len(OFFSETS), len(ids)), net.edge, dtype=np.int32)
+    at = np.arange(len(ids)) if of is None else of
+    start, end = np.repeat(bounds - lengths, lengths)[at], np.repeat(bounds, lengths)[at]
+    out = np.empty((len(OFFSETS), len(at)), dtype=np.int32)
     for row, offset in enumerate(OFFSETS):
         there = at + offset
-        inside = (there >= start) & (there < end)
-        out[row, inside] = ids[there[inside]]
+        out[row] = ids.take(there, mode="clip")
+        out[row, (there < start) | (there >= end)] = net.edge
     return out
 
 
