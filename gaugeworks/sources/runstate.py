@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from gaugeworks.operators.dedup import keep_first
 from gaugeworks.session import materialize
-from gaugeworks.sources.tables import TENANT, TableSpec, at_or_after, delete_where, read_table, update_where
+from gaugeworks.sources.tables import TENANT, TableSpec, at_or_after, delete_where, read_table, update_where, write_layout
 
 # Status texts of a finished run.
 SUCCESS, EMPTY, FAILED = "SUCCESS", "EMPTY", "FAILED"
@@ -22,16 +22,23 @@ SCHEMA = (
 )
 
 
+# A folder per tenant would make a tiny file for each; tenants share a fixed number of folders.
+TENANT_BUCKET = "tenant_bucket"
+TENANT_BUCKETS = 64
+
+
 def run_state_table(path: str) -> TableSpec:
     return TableSpec(
-        "run_state", path, (TENANT, "module_id", "run_id"), ("snapshot_ts",), (TENANT,),
+        "run_state", path, (TENANT, "module_id", "run_id"), ("snapshot_ts",), (TENANT_BUCKET,),
         required=T.StructType.fromDDL(SCHEMA),
     )
 
 
 def record_run(state: DataFrame, spec: TableSpec) -> None:
-    """Append state rows."""
-    state.write.mode("append").partitionBy(*spec.partition_by).parquet(spec.path)
+    """Append state rows, gathered by the bucket of their tenant."""
+    bucket = F.pmod(F.xxhash64(TENANT), F.lit(TENANT_BUCKETS)).cast("int")
+    rows = write_layout(state.withColumn(TENANT_BUCKET, bucket), spec)
+    rows.write.mode("append").partitionBy(*spec.partition_by).parquet(spec.path)
 
 
 def latest_runs(state: DataFrame) -> DataFrame:

@@ -75,3 +75,12 @@ def test_rollback_joins_its_plan(spark, tmp_path):
         assert sorted(r.id for r in left) == sorted([i for i in range(1200) if i % 40 == 39 or i % 30 < 10] + [5000])
     marks = tables.read_table(spark, spec).groupBy("status").count().collect()
     assert {r.status: r["count"] for r in marks} == {"SUCCESS": 39 * 2 + 6, "ROLLED BACK - SUCCESS": 39 * 4}
+
+
+def test_folders_of_the_run_state_do_not_grow_with_tenants(spark, tmp_path):
+    spec = runstate.run_state_table(f"{tmp_path}/many")
+    rows = [(f"t{i}", 1, 0, 10, "SUCCESS") for i in range(300)] + [(None, 1, 0, 10, "SUCCESS")]
+    runstate.record_run(state(spark, rows), spec)
+    assert len(list((tmp_path / "many").glob("*=*"))) <= runstate.TENANT_BUCKETS
+    stored = tables.read_table(spark, spec)
+    assert stored.count() == 301 and runstate.latest_runs(stored).count() == 301
