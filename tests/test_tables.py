@@ -82,3 +82,13 @@ def test_an_upsert_reads_the_touched_partitions_only(spark, monkeypatch, named):
     filters = line.split("PartitionFilters:")[1].split("PushedFilters")[0]
     assert "p03" in filters and "p04" in filters
     assert len(part.inputFiles()) <= 30 and "p29" not in filters
+
+
+def test_parts_of_a_shuffle_stay_small_however_large_the_table(spark, tmp_path):
+    """A task must not sort tens of megabytes of packed rows."""
+    from gaugeworks.session import configure
+
+    configure(spark)
+    rows = spark.range(0, 4_000_000, 1, 16).select("id", F.xxhash64("id").alias("v"), F.lit("one").alias("part"))
+    rows.hint("rebalance", "part").write.parquet(f"{tmp_path}/r")
+    assert len(list((tmp_path / "r").glob("*.parquet"))) > 2
