@@ -1,23 +1,28 @@
 """Ordered running values that hold up under hot keys.
 
-A window over a whole key puts all rows of that key into one task. Here every
-key is cut into slices along its order (a day, an hour, a number range). Each
-slice is summarised with ordinary partial aggregation, the few summaries of a
-key are combined in order, and the result enters each slice as one extra row
-before its first row (and one after its last). The row window then runs per
-(key, slice), so no task sees more than one slice, and the result is exactly
-that of the window over the whole key.
+A window over a whole key puts all rows of that key into one task. Here a key
+with many rows is cut into slices along its order (a day, an hour, a number
+range). Each slice is summarised with ordinary partial aggregation, the few
+summaries of a key are combined in order, and the result enters each slice as
+one extra row before its first row (and one after its last). The row window then
+runs per (key, slice), so no task sees more than one slice, and the result is
+exactly that of the window over the whole key. Keys are counted first; one of
+few rows is a single slice and needs no summaries.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SLICE = "__slice"
 POS = "__pos"
+# A key of more rows is cut into slices.
+WHOLE_KEY_ROWS = 20_000
+_CUT = "__cut"
 
 
 @dataclass(frozen=True)
@@ -51,29 +56,37 @@ def ordered_scan(
     order: list[str],
     running: list[Running],
     slice_by: Column | None,
+    whole_key_rows: int = WHOLE_KEY_ROWS,
 ) -> DataFrame:
     """Add running values per key in the given order.
 
     ``order`` must be a total order within a key (end it with an id), and
     ``slice_by`` must grow with the first order column. Without ``slice_by``
     the window runs over whole keys; use that only for keys known to be small.
+    Keys of at most ``whole_key_rows`` rows are not cut.
     """
     specs = [_lowered(s) for s in running]
     inputs = [f"__in{i}" for i in range(len(specs))]
     payload = df.columns
+    cut = F.lit(True)
+    if slice_by is not None and keys:
+        df = _mark_large_keys(df, keys, whole_key_rows)
+        cut = F.col(_CUT)
     rows = df.select(
-        "*",
-        (F.lit(0) if slice_by is None else slice_by).alias(SLICE),
+        *[F.col(f"`{c}`") for c in payload],
+        cut.alias(_CUT),
+        (F.lit(0) if slice_by is None else F.when(cut, slice_by)).alias(SLICE),
         F.lit(0).alias(POS),
         *[s.value.alias(c) for s, c in zip(specs, inputs)],
     )
 
     if slice_by is not None:
         rows = rows.unionByName(
-            _edge_rows(rows, keys, order, specs, inputs), allowMissingColumns=True
+            _edge_rows(rows.filter(_CUT), keys, order, specs, inputs).withColumn(_CUT, F.lit(True)), allowMissingColumns=True
         )
 
-    part = Window.partitionBy(*keys, SLICE)
+    # a slice of a cut key may be null itself, so the mark belongs to the partition
+    part = Window.partitionBy(*keys, _CUT, SLICE)
     up = part.orderBy(F.col(POS).asc(), *[F.col(c).asc() for c in order])
     # a frame up to the last row costs quadratic time; the reversed order does not
     down = part.orderBy(F.col(POS).desc(), *[F.col(c).desc() for c in order])
@@ -103,6 +116,19 @@ def ordered_scan(
     )
 
 
+def _mark_large_keys(df: DataFrame, keys: list[str], whole_key_rows: int) -> DataFrame:
+    """Rows with a mark whether their key has more rows than may stay together.
+
+    There are few such keys, at most one for so many rows of the input. Where there are
+    none, adaptive execution drops the join and all that is made of marked rows.
+    """
+    counted = df.groupBy(*[F.col(k).alias(f"__key{i}") for i, k in enumerate(keys)]).count()
+    large = counted.filter(F.col("count") > whole_key_rows).drop("count").withColumn(_CUT, F.lit(True))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__key{i}")) for i, k in enumerate(keys)])
+    marked = df.join(F.broadcast(large), same, "left")
+    return marked.withColumn(_CUT, F.col(_CUT).isNotNull())
+
+
 def _edge_rows(
     rows: DataFrame, keys: list[str], order: list[str], specs: list[Running], inputs: list[str]
 ) -> DataFrame:

@@ -66,6 +66,28 @@ def test_scan_equals_walk_for_any_slicing(spark):
         assert got == want
 
 
+def test_scan_equals_walk_with_large_and_small_keys(spark):
+    """Of the keys some are cut into slices and some are not, also where slices are null."""
+    data = make()
+    df = spark.createDataFrame(data, "k string, t int, id int, v int")
+    running = [Running(k, k.removesuffix("_x"), F.col("v"), exclusive=k.endswith("_x")) for k in KINDS]
+    want = walk(data)
+    for rows in (0, 60, 100, 150, 1000):
+        for by in (F.floor(F.col("t") / 7), F.when(F.col("t") >= 100, F.floor(F.col("t") / 50))):
+            scanned = ordered_scan(df, ["k"], ["t", "id"], running, by, whole_key_rows=rows)
+            assert {r["id"]: tuple(r[k] for k in KINDS) for r in scanned.collect()} == want
+            assert scanned.columns == ["k", "t", "id", "v", *KINDS]
+
+
+def test_small_keys_need_no_summaries_of_slices(spark):
+    """Keys of a few rows a day must not cost two more rows for each slice."""
+    df = spark.range(2000).select((F.col("id") % 500).alias("k"), F.col("id").alias("t"))
+    scanned = ordered_scan(df, ["k"], ["t"], [Running("b", "last", F.col("t"), True), Running("n", "lead", F.col("t"))], F.col("t"))
+    assert len(scanned.collect()) == 2000
+    plan = scanned._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "Final Plan" in plan and "Union" not in plan and "SortAggregate" not in plan
+
+
 def test_scan_without_keys(spark):
     df = spark.range(100).withColumn("v", F.col("id") % 3)
     got = ordered_scan(df, [], ["id"], [Running("s", "sum", F.col("v"))], F.floor(F.col("id") / 9))
