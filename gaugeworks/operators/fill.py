@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from gaugeworks.operators.frames import BLOCK_ROWS, in_blocks
 from gaugeworks.operators.scan import Running, ordered_scan, row_numbers
+from gaugeworks.session import materialize
 
 _RN = "__rn"
 
@@ -119,7 +120,8 @@ def fill_from_groups(df: DataFrame, column: str, groupings: list[list[str]]) ->
 
     Takes the smallest known value of a group, so the outcome is fixed. The
     values are aggregated per group and joined back; a group of any size costs
-    no more than its rows.
+    no more than its rows. The values of all groupings but the last are written,
+    as the next ones would compute them again, each twice as often.
     """
     for i, keys in enumerate(groupings):
         known = (
@@ -127,6 +129,8 @@ def fill_from_groups(df: DataFrame, column: str, groupings: list[list[str]]) ->
             .groupBy(*[F.col(k).alias(f"__k{j}") for j, k in enumerate(keys)])
             .agg(F.min(column).alias(f"__known{i}"))
         )
+        if i < len(groupings) - 1:
+            known = materialize(known, "known")
         match = F.lit(True)
         for j, k in enumerate(keys):
             match = match & F.col(k).eqNullSafe(F.col(f"__k{j}"))

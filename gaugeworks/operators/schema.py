@@ -545,13 +545,19 @@ def apply_filters(df: DataFrame, filters: list[Column]) -> DataFrame:
 
 
 def project_properties(properties: Column, spec: dict) -> Column:
-    """Nested struct out of map keys: ``{field: key}`` or ``{field: {...}}``."""
-    return F.struct(
-        *[
-            (project_properties(properties, v) if isinstance(v, dict) else F.try_element_at(properties, F.lit(v))).alias(k)
-            for k, v in spec.items()
-        ]
-    )
+    """Nested struct out of map keys: ``{field: key}`` or ``{field: {...}}``.
+
+    The struct is made in a lambda, which Spark keeps out of the code it generates for the
+    whole stage: with dozens of fields beside other columns that code is one method too
+    long for the JVM to compile.
+    """
+
+    def made(m: Column, fields: dict) -> Column:
+        return F.struct(
+            *[(made(m, v) if isinstance(v, dict) else F.try_element_at(m, F.lit(v))).alias(k) for k, v in fields.items()]
+        )
+
+    return F.get(F.transform(F.array(properties), lambda m: made(m, spec)), F.lit(0))
 
 
 def merge_case_variants(

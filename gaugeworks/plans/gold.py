@@ -158,37 +158,26 @@ def spark_job(silver: DataFrame, by_principal: bool = False) -> DataFrame:
 
     The user of a job without one comes from jobs of the same principal (where
     the platform has one), isolation id, job group or execution, in this
-    order, else from the last earlier job of the same interpreter.
+    order, else from the last earlier job of the same interpreter. The jobs are
+    written once; only the columns these steps need go through their shuffles,
+    with a row id by which the users come back to the jobs.
     """
     p = "PowerProperties."
-    df = silver.withColumns(
-        {
-            "user_email": F.col(p + "UserEmail"),
-            "__group": F.col(p + "JobGroupID"),
-            "__exec": F.col(p + "ExecutionID"),
-            "__principal": F.col(p + "principalIdpObjectId"),
-            "__isolation": F.col(p + "SparkDBIsolationID"),
-            "__repl": F.col(p + "SparkDBREPLID"),
-        }
-    )
-    context = [TENANT, "SparkContextID"]
-    groups = [[*context, "__isolation"], [*context, "__group"], [*context, "__exec"]]
-    if by_principal:
-        groups.insert(0, [TENANT, "__principal"])
-    for keys in groups:
-        df = materialize(fill_from_groups(df, "user_email", [keys]), "user")
-    df = fill_forward(
-        df, [*context, "__repl"], ["startTimestamp", "JobID"], {"user_email": []}, day_of_ms(F.col("startTimestamp"))
-    )
-    df = fill_from_groups(materialize(df, "user"), "clusterId", [context])
+    helpers = {
+        "__group": F.col(p + "JobGroupID"),
+        "__exec": F.col(p + "ExecutionID"),
+        "__principal": F.col(p + "principalIdpObjectId"),
+        "__isolation": F.col(p + "SparkDBIsolationID"),
+        "__repl": F.col(p + "SparkDBREPLID"),
+    }
     platform_job = F.coalesce(F.col("JobGroupID").like("%job-%-run-%"), F.lit(False))
     job_id, run_id = F.col(p + "SparkDBJobID"), F.col(p + "SparkDBRunID")
-    return _renamed(
-        df,
+    df = _renamed(
+        silver.withColumns({"user_email": F.col(p + "UserEmail"), **helpers}),
         {
             **SPARK_IDS, "job_id": "JobID", "job_group_id": "JobGroupID", "execution_id": "ExecutionID",
             "stage_ids": "StageIDs", "job_runtime": "JobRunTime", "job_result": "JobResult", **SPARK_FILES,
-            "user_email": "user_email",
+            **_same("user_email", *helpers),
         },
         [
             F.col(p + "NotebookID").alias("notebook_id"),
@@ -200,6 +189,19 @@ def spark_job(silver: DataFrame, by_principal: bool = False) -> DataFrame:
             *_times("startTimestamp"),
         ],
     )
+    names = [c for c in df.columns if c not in helpers]
+    df = materialize(df.withColumn("__row", F.monotonically_increasing_id()), "spark-jobs")
+
+    context = [TENANT, "spark_context_id"]
+    groups = [[*context, "__isolation"], [*context, "__group"], [*context, "__exec"]]
+    if by_principal:
+        groups.insert(0, [TENANT, "__principal"])
+    order = ["unixTimeMS", "job_id"]
+    users = df.select("__row", *context, *helpers, *order, "user_email")
+    users = materialize(fill_from_groups(users, "user_email", groups), "user")
+    users = fill_forward(users, [*context, "__repl"], order, {"user_email": []}, day_of_ms(F.col("unixTimeMS")))
+    df = fill_from_groups(df.drop("user_email"), "cluster_id", [context])
+    return df.join(users.select("__row", "user_email"), "__row").select(*names)
 
 
 def spark_stage(silver: DataFrame) -> DataFrame:
