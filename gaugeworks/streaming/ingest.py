@@ -7,13 +7,16 @@ from collections.abc import Callable
 from functools import reduce
 from operator import and_
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from gaugeworks.operators.dedup import keep_first
-from gaugeworks.sources.tables import TENANT, TableSpec, upsert, write_table, exists
+from gaugeworks.operators.dedup import keep_first, row_hash
+from gaugeworks.sources.tables import INSERT_ONLY, TENANT, TableSpec, exists, read_table, upsert, write_table
+
+BATCH = "__batch"
 
 
 def message_stream(
@@ -118,22 +121,75 @@ def resume_point(landed: DataFrame, event_time: str):
     return landed.agg(F.max(event_time).alias("at")).first()["at"]
 
 
+def _merge_batches(batches: DataFrame, spec: TableSpec, order: list) -> None:
+    """Merge waiting batches as if one came after the other."""
+    # a table that only takes new keys keeps the row of the first batch
+    batch = F.col(BATCH).asc() if spec.scope == INSERT_ONLY else F.col(BATCH).desc()
+    one = keep_first(batches, spec.match_keys, [batch, *order, row_hash(batches.drop(BATCH))]).drop(BATCH)
+    if exists(batches.sparkSession, spec):
+        upsert(one, spec)
+    else:
+        write_table(one, spec)
+
+
 def upsert_stream(
     df: DataFrame, spec: TableSpec, checkpoint: str, order: list, prepare: Callable[[DataFrame], DataFrame] | None = None
 ) -> StreamingQuery:
-    """Merge each batch into a keyed table; a repeated batch changes nothing."""
+    """Merge all batches that are there into a keyed table, then stop; a repeated batch changes nothing.
 
-    def merge(batch: DataFrame, _epoch: int) -> None:
-        rows = prepare(batch) if prepare else batch
-        one = keep_first(rows, spec.match_keys, order)
-        if exists(batch.sparkSession, spec):
-            upsert(one, spec)
-        else:
-            write_table(one, spec)
+    A merge rewrites what it touches of the table, so one for every batch would cost the
+    square of the rows. Batches wait in the checkpoint folder until they have as
+    many rows as the table, and the last are merged before this returns. The folder also
+    says up to which batch the table is merged, so what a lost run left is merged by the next.
+    """
+    spark = df.sparkSession
+    waiting, merged = f"{checkpoint}/waiting", f"{checkpoint}/merged"
+
+    def read(path: str) -> DataFrame | None:
+        try:
+            return spark.read.option("mergeSchema", "true").parquet(path)
+        except AnalysisException:
+            return None
+
+    def table_rows() -> int:
+        return read_table(spark, spec).count() if exists(spark, spec) else 0
+
+    log = read(merged)
+    until = -1 if log is None else log.agg(F.max("batch")).first()[0]
+    left = read(waiting)
+    facts = None if left is None else left.filter(F.col(BATCH) > until).agg(F.max(BATCH), F.count(F.lit(1))).first()
+    last, rows = (until, 0) if facts is None or facts[0] is None else facts
+    state = {"until": until, "last": last, "rows": rows, "table": table_rows()}
+
+    def merge() -> None:
+        if state["last"] == state["until"]:
+            return
+        batches = read(waiting).filter((F.col(BATCH) > state["until"]) & (F.col(BATCH) <= state["last"]))
+        _merge_batches(batches, spec, order)
+        spark.range(1).select(F.lit(state["last"]).cast("bigint").alias("batch")).write.mode("append").parquet(merged)
+        state.update(until=state["last"], rows=0, table=table_rows())
+
+    def take(batch: DataFrame, epoch: int) -> None:
+        if epoch <= state["until"]:
+            return
+        path = f"{waiting}/{BATCH}={epoch}"
+        again = epoch <= state["last"]
+        (prepare(batch) if prepare else batch).write.mode("overwrite").parquet(path)
+        state["last"] = epoch
+        if not again:
+            state["rows"] += spark.read.parquet(path).count()
+        if state["rows"] >= state["table"]:
+            merge()
 
-    return (
-        df.writeStream.foreachBatch(merge)
+    query = (
+        df.writeStream.foreachBatch(take)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+    try:
+        query.awaitTermination()
+    finally:
+        query.stop()
+        merge()
+    return query
